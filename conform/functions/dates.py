@@ -11,16 +11,13 @@ from pyspark.sql import functions as F
 def packed_date(number: Column) -> Column:
     """Date packed in an integer as yyyymmdd; NULL unless the number has eight digits and names a real day.
 
-    The parts are taken by arithmetic and not by parsing text, which is several times faster on wide
-    fact tables. A day beyond the end of its month would roll over into the next one, and is refused
-    by comparing months.
+    The parts are taken by arithmetic, which is about twice as fast on wide fact tables as parsing text.
     """
     year = (number / 10000).cast("int")
     month = (number / 100 % 100).cast("int")
     day = (number % 100).cast("int")
-    readable = number.between(10000000, 99999999) & month.between(1, 12) & day.between(1, 31)
-    date = F.date_add(F.make_date(year, month, F.lit(1)), day - 1)
-    return F.when(readable, F.when(F.month(date) == month, date))
+    midnight = F.try_make_timestamp_ntz(year, month, day, F.lit(0), F.lit(0), F.lit(0))
+    return F.when(number.between(10000000, 99999999), midnight.cast("date"))
 
 
 def null_after(date: Column, as_of: Column | datetime.date | None = None) -> Column:

@@ -11,40 +11,46 @@ from pyspark.sql import types as T
 # Rows of one key that a single task may sort or join. Above this the key is split.
 HOT_ROWS = 5_000_000
 
-# Size of the frequent-items sketch: every key with more than about 1 / 7,500 of all rows is found,
-# and never more than MOST_HOT of them are reported, so what reaches the driver is bounded.
+# Rows are counted in this many groups of input partitions, so that no task merges all sketches. The sketch
+# of a group finds every key with more than about 1 / 7,500 of its rows.
+GROUPS = 64
 TRACKED_ITEMS = 10_000
-MOST_HOT = 1_000
-
-# The sketches of all tasks are merged in this many groups first, not all in one task.
-MERGE_GROUPS = 64
 
-PIECES = "__pieces"
+# The most keys reported, which bounds what reaches the driver.
+MOST_HOT = 1_000
 
 
 class HotKey(NamedTuple):
     key: object
     rows: int
 
+    def pieces(self, hot_rows: int) -> int:
+        """Into how many pieces of at most ``hot_rows`` rows it has to be cut."""
+        return -(-self.rows // hot_rows)
+
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list[HotKey]:
     """Keys (NULL included) with more than ``hot_rows`` rows, by one pass over the key column.
 
     The counts are estimates. Callers use them to choose a plan only; every plan gives the same rows.
     """
-    merged = (
-        df.select(F.col(key).alias("key"), F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("part"))
-        .groupBy("part")
-        .agg(F.expr(f"approx_top_k_accumulate(key, {TRACKED_ITEMS})").alias("sketch"))
+    frequent = (
+        df.select(F.col(key).alias("key"), F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("group"))
+        .groupBy("group")
+        .agg(F.expr(f"approx_top_k(key, {MOST_HOT}, {TRACKED_ITEMS})").alias("top"))
+        .select(F.inline("top"))
+    )
+    found = (
+        frequent.groupBy(F.col("item").alias("key"))
+        .agg(F.sum("count").alias("rows"))
+        .filter(F.col("rows") > hot_rows)
+        .orderBy(F.desc("rows"), "key")
+        .limit(MOST_HOT)
     )
-    top = merged.agg(
-        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {TRACKED_ITEMS}), {MOST_HOT})").alias("top")
-    ).first()["top"]
-    return [HotKey(row["item"], row["count"]) for row in top or [] if row["count"] > hot_rows]
+    return [HotKey(row["key"], row["rows"]) for row in found.collect()]
 
 
-def hot_key_table(df: DataFrame, key: str, hot: list[HotKey], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The hot keys as a table of at most ``MOST_HOT`` rows: the key and the number of pieces to cut it into."""
-    schema = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField(PIECES, T.IntegerType())])
-    rows = [(item.key, -(-item.rows // hot_rows)) for item in hot]
-    return df.sparkSession.createDataFrame(rows, schema)
+def hot_key_table(df: DataFrame, key: str, hot: list[HotKey], name: str) -> DataFrame:
+    """The hot keys as a column of a table with at most ``MOST_HOT`` rows."""
+    schema = T.StructType([T.StructField(name, df.schema[key].dataType)])
+    return df.sparkSession.createDataFrame([(item.key,) for item in hot], schema)

@@ -6,13 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conform.operators.hotkeys import HOT_ROWS, PIECES, HotKey, hot_key_table, hot_keys
+from conform.operators.hotkeys import HOT_ROWS, HotKey, hot_keys
 
 # Largest lookup, as measured, that is sent whole to every executor.
 BROADCAST_BYTES = 128 * 1024 * 1024
 
 _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 _SALT = "__salt"
+_PIECES = "__pieces"
+_LOOKUP_PIECES = "__lookup_pieces"
+_COPY = "__copy"
+_COPIED = "__copied"
+_MATCHED = "__matched"
 
 
 def measured_bytes(df: DataFrame) -> int | None:
@@ -37,9 +42,8 @@ def left_lookup(
     """Add the columns of each lookup by equality on the column ``on``; rows without a match keep NULLs.
 
     A lookup measured to be small is broadcast, so ``df`` is not shuffled for it. Larger ones are joined by
-    one shuffle on the key and a salt: rows whose key is NULL never match and are spread freely, rows of hot
-    keys are spread over as many pieces as their number calls for, and only the lookup rows of hot keys are
-    repeated.
+    shuffle, on the key and a salt that cuts hot keys into pieces. They share one shuffle of ``df`` except
+    for a lookup that has hot keys of its own.
     """
     sizes = [measured_bytes(lookup) for lookup in lookups]
     fits = [size is not None and size <= broadcast_bytes for size in sizes]
@@ -49,36 +53,74 @@ def left_lookup(
             joined = joined.join(F.broadcast(lookup), on, "left")
     large = [lookup for lookup, small in zip(lookups, fits) if not small]
     if large:
-        joined = _salted(joined, on, large, hot_keys(df, on, hot_rows), hot_rows)
+        hot = hot_keys(df, on, hot_rows)
+        hot_in = [hot_keys(lookup, on, hot_rows) for lookup in large]
+        together = [lookup for lookup, own in zip(large, hot_in) if not own]
+        if together:
+            joined = _salted_join(joined, on, together, _spread(df, on, hot, [], hot_rows))
+        for lookup, own in zip(large, hot_in):
+            if own:
+                joined = _salted_join(joined, on, [lookup], _spread(df, on, hot, own, hot_rows))
     return joined.select(*df.columns, *[c for lookup in lookups for c in lookup.columns if c != on])
 
 
-def _salted(df: DataFrame, on: str, lookups: list[DataFrame], hot: list[HotKey], hot_rows: int) -> DataFrame:
-    # The salt comes from the input partition of a row: the same again when the task is run again, and
-    # different even among exact copies.
+def _spread(df: DataFrame, on: str, hot: list[HotKey], hot_in_lookup: list[HotKey], hot_rows: int) -> DataFrame | None:
+    """For each hot key, into how many pieces its rows in ``df`` or else those in the lookup are cut.
+
+    A table of at most twice ``MOST_HOT`` rows, or None without hot keys. NULL never matches and is left out.
+    """
+    pieces = {item.key: (1, item.pieces(hot_rows)) for item in hot_in_lookup if item.key is not None}
+    pieces |= {item.key: (item.pieces(hot_rows), 1) for item in hot if item.key is not None}
+    if not pieces:
+        return None
+    schema = T.StructType(
+        [df.schema[on], T.StructField(_PIECES, T.IntegerType()), T.StructField(_LOOKUP_PIECES, T.IntegerType())]
+    )
+    return F.broadcast(df.sparkSession.createDataFrame([(key, *cut) for key, cut in pieces.items()], schema))
+
+
+def _salted_join(df: DataFrame, on: str, lookups: list[DataFrame], spread: DataFrame | None) -> DataFrame:
+    """Left join by shuffle in which no task gets all rows of a hot key.
+
+    Where a key is cut into pieces on one side, its rows on the other side are repeated for each piece. Rows
+    of ``df`` whose key is NULL match nothing and are dealt out freely.
+
+    The salt comes from the input partition of a row: the same again when the task is run again, and
+    different even among exact copies.
+    """
     source = F.spark_partition_id()
-    matchable = [item for item in hot if item.key is not None]
-    if not matchable:
-        joined = df.withColumn(_SALT, F.when(F.col(on).isNull(), source).otherwise(0))
-        repeated = [lookup.withColumn(_SALT, F.lit(0)) for lookup in lookups]
-    else:
-        pieces = F.broadcast(hot_key_table(df, on, matchable, hot_rows))
-        count = F.coalesce(F.col(PIECES), F.lit(1))
-        joined = (
-            df.withColumn(_SALT, source)
-            .join(pieces, on, "left")
-            .withColumn(_SALT, F.when(F.col(on).isNull(), F.col(_SALT)).otherwise(F.pmod(_SALT, count)))
-            .drop(PIECES)
+    if spread is None:
+        salted = df.withColumn(_SALT, F.when(F.col(on).isNull(), source).otherwise(0))
+        for lookup in lookups:
+            salted = salted.join(lookup.withColumn(_SALT, F.lit(0)), [on, _SALT], "left")
+        return salted
+
+    pieces, lookup_pieces = (F.coalesce(F.col(name), F.lit(1)) for name in (_PIECES, _LOOKUP_PIECES))
+    salted = (
+        df.withColumn(_SALT, source)
+        .join(spread, on, "left")
+        .withColumn(_COPY, F.explode(F.sequence(F.lit(0), lookup_pieces - 1)))
+        .withColumn(_SALT, F.when(F.col(on).isNull(), F.col(_SALT)).otherwise(F.pmod(_SALT, pieces) + F.col(_COPY)))
+        .withColumn(_COPIED, lookup_pieces > 1)
+        .drop(_PIECES, _LOOKUP_PIECES, _COPY)
+    )
+    for lookup in lookups:
+        repeated = (
+            lookup.filter(F.col(on).isNotNull())
+            .withColumn(_SALT, source)
+            .join(spread, on, "left")
+            .withColumn(_COPY, F.explode(F.sequence(F.lit(0), pieces - 1)))
+            .withColumn(_SALT, F.pmod(_SALT, lookup_pieces) + F.col(_COPY))
+            .withColumn(_MATCHED, F.lit(True))
+            .drop(_PIECES, _LOOKUP_PIECES, _COPY)
+        )
+        # A key that is hot in the lookup has a match there, though not in every piece.
+        salted = (
+            salted.join(repeated, [on, _SALT], "left")
+            .filter(~F.col(_COPIED) | F.col(_MATCHED).isNotNull())
+            .drop(_MATCHED)
         )
-        repeated = [
-            lookup.join(pieces, on, "left")
-            .withColumn(_SALT, F.explode(F.sequence(F.lit(0), count - 1)))
-            .drop(PIECES)
-            for lookup in lookups
-        ]
-    for lookup in repeated:
-        joined = joined.join(lookup, [on, _SALT], "left")
-    return joined
+    return salted
 
 
 def resolve_key(

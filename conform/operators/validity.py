@@ -15,6 +15,7 @@ from conform.operators.select import sortable_columns
 _NEXT = "__next"
 _CUT = "__cut"
 _HEAD = "__head"
+_HOT = "__hot"
 
 
 def close_validity(
@@ -38,8 +39,8 @@ def close_validity(
     hot = hot_keys(df, key, hot_rows)
     if not hot:
         return _by_window(df, key, start, end, ties)
-    hot_table = F.broadcast(hot_key_table(df, key, hot, hot_rows).select(F.col(key).alias("__hot")))
-    is_hot = F.col(key).eqNullSafe(F.col("__hot"))
+    hot_table = F.broadcast(hot_key_table(df, key, hot, _HOT))
+    is_hot = F.col(key).eqNullSafe(F.col(_HOT))
     ordinary = _by_window(df.join(hot_table, is_hot, "left_anti"), key, start, end, ties)
     return ordinary.unionByName(_by_order(df.join(hot_table, is_hot, "left_semi"), key, start, end, ties))
 

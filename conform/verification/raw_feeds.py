@@ -70,13 +70,18 @@ def crm_prd_info(spark: SparkSession, folder: str) -> DataFrame:
 
 def crm_sales_details(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate"
+        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", _packed(F.col("o_orderdate")).alias("ordered")
     )
-    lines = table(spark, folder, "lineitem").join(orders, "l_orderkey")
-    order_key = F.col("l_orderkey")
-    q = F.col("l_quantity").cast("int")
-    p = F.floor(F.col("l_extendedprice") / F.col("l_quantity")).cast("int")
-    ordered, shipped = _packed(F.col("o_orderdate")), _packed(F.col("l_shipdate"))
+    parts = table(spark, folder, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        _packed(F.col("l_shipdate")).alias("shipped"),
+        F.col("l_quantity").cast("int").alias("q"),
+        F.floor(F.col("l_extendedprice") / F.col("l_quantity")).cast("int").alias("p"),
+    )
+    lines = parts.join(orders, "l_orderkey")
+    order_key, ordered, shipped, q, p = (F.col(c) for c in ("l_orderkey", "ordered", "shipped", "q", "p"))
     return lines.select(
         F.concat(F.lit("SO"), _text(order_key), F.lit("-"), _text(F.col("l_linenumber"))).alias("sls_ord_num"),
         F.when(order_key % 41 == 0, "PXXX")
