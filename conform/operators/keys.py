@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from conform.operators.ordering import PART, POSITION, in_order
 
-_BEFORE = "__before"
+_SHIFT = "__shift"
 
 
 def gapless_key(
@@ -24,17 +24,16 @@ def gapless_key(
 
     The same numbers as ``row_number`` over an unpartitioned window, which would sort the whole table in
     one task. Here the sort is distributed, and each sorted partition starts counting after the rows of the
-    partitions before it. Only those row counts, one per partition, meet in one place.
+    partitions before it. Only those row counts, one per partition, pass through the driver.
 
     An ``int`` key fails the job beyond 2,147,483,647 rows; pass ``key_type="bigint"`` for larger tables.
     """
     ordered = in_order(df, order_by, tie_break)
-    earlier_parts = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        ordered.groupBy(PART)
-        .agg(F.count("*").alias("rows"), F.min(POSITION).alias("first"))
-        .select(PART, (F.coalesce(F.sum("rows").over(earlier_parts), F.lit(0)) - F.col("first")).alias(_BEFORE))
-    )
-    number = F.col(POSITION) + F.col(_BEFORE) + 1
-    # Bounded by the number of shuffle partitions, so it is broadcast without measuring it.
-    return ordered.join(F.broadcast(before), PART).select(number.cast(key_type).alias(name), *df.columns)
+    counts = ordered.groupBy(PART).agg(F.count("*").alias("rows"), F.min(POSITION).alias("first")).collect()
+    numbered, shifts = 0, []
+    for count in sorted(counts, key=lambda c: c[PART]):
+        shifts.append((count[PART], numbered + 1 - count["first"]))
+        numbered += count["rows"]
+    shift = F.broadcast(df.sparkSession.createDataFrame(shifts, f"{PART} int, {_SHIFT} bigint"))
+    number = F.col(POSITION) + F.col(_SHIFT)
+    return ordered.join(shift, PART).select(number.cast(key_type).alias(name), *df.columns)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conform.operators.hotkeys import HOT_ROWS, HotKey, hot_keys
+from conform.sources.jobs import side_by_side
 
 # Largest lookup, as measured, that is sent whole to every executor.
 BROADCAST_BYTES = 128 * 1024 * 1024
@@ -16,7 +17,6 @@ _SALT = "__salt"
 _PIECES = "__pieces"
 _LOOKUP_PIECES = "__lookup_pieces"
 _COPY = "__copy"
-_COPIED = "__copied"
 _MATCHED = "__matched"
 
 
@@ -45,7 +45,7 @@ def left_lookup(
     shuffle, on the key and a salt that cuts hot keys into pieces. They share one shuffle of ``df`` except
     for a lookup that has hot keys of its own.
     """
-    sizes = [measured_bytes(lookup) for lookup in lookups]
+    sizes = side_by_side([lambda lookup=lookup: measured_bytes(lookup) for lookup in lookups], len(lookups))
     fits = [size is not None and size <= broadcast_bytes for size in sizes]
     joined = df
     for lookup, small in zip(lookups, fits):
@@ -54,73 +54,60 @@ def left_lookup(
     large = [lookup for lookup, small in zip(lookups, fits) if not small]
     if large:
         hot = hot_keys(df, on, hot_rows)
-        hot_in = [hot_keys(lookup, on, hot_rows) for lookup in large]
+        hot_in = side_by_side([lambda lookup=lookup: hot_keys(lookup, on, hot_rows) for lookup in large], len(large))
         together = [lookup for lookup, own in zip(large, hot_in) if not own]
-        if together:
-            joined = _salted_join(joined, on, together, _spread(df, on, hot, [], hot_rows))
+        joined = _shuffled(joined, on, together, hot, [], hot_rows)
         for lookup, own in zip(large, hot_in):
             if own:
-                joined = _salted_join(joined, on, [lookup], _spread(df, on, hot, own, hot_rows))
+                joined = _shuffled(joined, on, [lookup], hot, own, hot_rows)
     return joined.select(*df.columns, *[c for lookup in lookups for c in lookup.columns if c != on])
 
 
-def _spread(df: DataFrame, on: str, hot: list[HotKey], hot_in_lookup: list[HotKey], hot_rows: int) -> DataFrame | None:
-    """For each hot key, into how many pieces its rows in ``df`` or else those in the lookup are cut.
+def _shuffled(
+    df: DataFrame, on: str, lookups: list[DataFrame], hot: list[HotKey], hot_in_lookup: list[HotKey], hot_rows: int
+) -> DataFrame:
+    """Left joins by one shuffle of ``df`` in which no task gets all rows of a hot key.
 
-    A table of at most twice ``MOST_HOT`` rows, or None without hot keys. NULL never matches and is left out.
+    Where a key is cut into pieces on one side, its rows on the other side are repeated for each piece. Rows
+    whose key is NULL match nothing and are dealt out freely.
     """
+    if not hot and not hot_in_lookup:
+        for lookup in lookups:
+            df = df.join(lookup, on, "left")
+        return df
+
     pieces = {item.key: (1, item.pieces(hot_rows)) for item in hot_in_lookup if item.key is not None}
     pieces |= {item.key: (item.pieces(hot_rows), 1) for item in hot if item.key is not None}
-    if not pieces:
-        return None
     schema = T.StructType(
         [df.schema[on], T.StructField(_PIECES, T.IntegerType()), T.StructField(_LOOKUP_PIECES, T.IntegerType())]
     )
-    return F.broadcast(df.sparkSession.createDataFrame([(key, *cut) for key, cut in pieces.items()], schema))
+    # At most MOST_HOT keys of either side.
+    spread = F.broadcast(df.sparkSession.createDataFrame([(key, *cut) for key, cut in pieces.items()], schema))
 
+    joined = _salted(df, on, spread, cut=_PIECES, repeated=_LOOKUP_PIECES if hot_in_lookup else None)
+    for lookup in lookups:
+        known = lookup.filter(F.col(on).isNotNull()).withColumn(_MATCHED, F.lit(True))
+        other = _salted(known, on, spread, cut=_LOOKUP_PIECES, repeated=_PIECES if hot else None)
+        joined = joined.join(other.drop(_PIECES, _LOOKUP_PIECES), [on, _SALT], "left")
+        if hot_in_lookup:
+            # A key that is hot in the lookup has a match there, though not in every piece.
+            joined = joined.filter((F.coalesce(_LOOKUP_PIECES, F.lit(1)) == 1) | F.col(_MATCHED).isNotNull())
+        joined = joined.drop(_MATCHED)
+    return joined.drop(_SALT, _PIECES, _LOOKUP_PIECES)
 
-def _salted_join(df: DataFrame, on: str, lookups: list[DataFrame], spread: DataFrame | None) -> DataFrame:
-    """Left join by shuffle in which no task gets all rows of a hot key.
 
-    Where a key is cut into pieces on one side, its rows on the other side are repeated for each piece. Rows
-    of ``df`` whose key is NULL match nothing and are dealt out freely.
+def _salted(df: DataFrame, on: str, spread: DataFrame, cut: str, repeated: str | None) -> DataFrame:
+    """Add a salt that cuts the rows of a key into ``cut`` pieces, each repeated for the pieces of the other side.
 
     The salt comes from the input partition of a row: the same again when the task is run again, and
     different even among exact copies.
     """
-    source = F.spark_partition_id()
-    if spread is None:
-        salted = df.withColumn(_SALT, F.when(F.col(on).isNull(), source).otherwise(0))
-        for lookup in lookups:
-            salted = salted.join(lookup.withColumn(_SALT, F.lit(0)), [on, _SALT], "left")
-        return salted
-
-    pieces, lookup_pieces = (F.coalesce(F.col(name), F.lit(1)) for name in (_PIECES, _LOOKUP_PIECES))
-    salted = (
-        df.withColumn(_SALT, source)
-        .join(spread, on, "left")
-        .withColumn(_COPY, F.explode(F.sequence(F.lit(0), lookup_pieces - 1)))
-        .withColumn(_SALT, F.when(F.col(on).isNull(), F.col(_SALT)).otherwise(F.pmod(_SALT, pieces) + F.col(_COPY)))
-        .withColumn(_COPIED, lookup_pieces > 1)
-        .drop(_PIECES, _LOOKUP_PIECES, _COPY)
-    )
-    for lookup in lookups:
-        repeated = (
-            lookup.filter(F.col(on).isNotNull())
-            .withColumn(_SALT, source)
-            .join(spread, on, "left")
-            .withColumn(_COPY, F.explode(F.sequence(F.lit(0), pieces - 1)))
-            .withColumn(_SALT, F.pmod(_SALT, lookup_pieces) + F.col(_COPY))
-            .withColumn(_MATCHED, F.lit(True))
-            .drop(_PIECES, _LOOKUP_PIECES, _COPY)
-        )
-        # A key that is hot in the lookup has a match there, though not in every piece.
-        salted = (
-            salted.join(repeated, [on, _SALT], "left")
-            .filter(~F.col(_COPIED) | F.col(_MATCHED).isNotNull())
-            .drop(_MATCHED)
-        )
-    return salted
+    salted = df.withColumn(_SALT, F.spark_partition_id()).join(spread, on, "left")
+    salt = F.pmod(_SALT, F.coalesce(cut, F.lit(1)))
+    if repeated is not None:
+        salted = salted.withColumn(_COPY, F.explode(F.sequence(F.lit(0), F.coalesce(repeated, F.lit(1)) - 1)))
+        salt = salt + F.col(_COPY)
+    return salted.withColumn(_SALT, F.when(F.col(on).isNull(), F.col(_SALT)).otherwise(salt)).drop(_COPY)
 
 
 def resolve_key(

@@ -266,7 +266,7 @@ _FROM_STEPS = {
         | {f"gold.{name}": name for name in _GOLD}
     ),
     "q39_star_schema_checks": """
-        SELECT (SELECT count(*) > 0 FROM fact_sales) AS not_empty,
+        SELECT (SELECT count(*) > 0 FROM silver_sales) AS not_empty,
                (SELECT count(*) FROM (SELECT 1 FROM dim_customers GROUP BY customer_id)) AS customer_ids,
                (SELECT count(*) FROM (SELECT 1 FROM dim_customers GROUP BY customer_id HAVING count(*) > 1))
                    AS repeated_customer_ids,

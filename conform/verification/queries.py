@@ -15,6 +15,7 @@ from conform.plans import gold, silver
 from conform.plans.run import Layout, feed_specs, run_all, run_bronze
 from conform.plans.schemas import RAW_SCHEMAS
 from conform.sources import FeedSpec, qualified_name, read_csv_feed
+from conform.sources.jobs import side_by_side
 from conform.sources.workspace import new_folder
 from conform.verification.raw_feeds import RAW_FEEDS, table
 
@@ -76,7 +77,8 @@ def fact_sales(spark: SparkSession, folder: str) -> DataFrame:
 
 def write_csv_feeds(spark: SparkSession, folder: str, specs: list[FeedSpec]) -> None:
     """The raw feeds as CSV files with a header; blanks around values are part of them."""
-    for spec in specs:
+
+    def write(spec: FeedSpec) -> None:
         (
             RAW_FEEDS[spec.table](spark, folder)
             .write.option("header", True)
@@ -85,6 +87,8 @@ def write_csv_feeds(spark: SparkSession, folder: str, specs: list[FeedSpec]) ->
             .csv(spec.path)
         )
 
+    side_by_side([lambda spec=spec: write(spec) for spec in specs], parallel=4)
+
 
 def _new_layout(spark: SparkSession) -> tuple[Layout, list[FeedSpec]]:
     """Three empty schemas of their own in the shared folder, and feeds that land in the first."""
@@ -264,7 +268,7 @@ def star_schema_checks(spark: SparkSession, folder: str) -> DataFrame:
     )
     facts = gold.fact_sales(sales, products, customers)
     parts = [
-        checks.not_empty(facts),
+        checks.not_empty(sales),
         checks.key_uniqueness(customers, "customer_id").toDF("customer_ids", "repeated_customer_ids"),
         checks.key_uniqueness(products, "product_number").toDF("product_numbers", "repeated_product_numbers"),
         checks.key_gaps(customers, "customer_key").toDF(
