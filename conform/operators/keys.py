@@ -34,6 +34,10 @@ def gapless_key(
     for count in sorted(counts, key=lambda c: c[PART]):
         shifts.append((count[PART], numbered + 1 - count["first"]))
         numbered += count["rows"]
-    shift = F.broadcast(df.sparkSession.createDataFrame(shifts, f"{PART} int, {_SHIFT} bigint"))
+    if len(shifts) == 1:  # a small table, sorted in one piece
+        ordered = ordered.withColumn(_SHIFT, F.lit(shifts[0][1]))
+    else:
+        table = df.sparkSession.createDataFrame(shifts, f"{PART} int, {_SHIFT} bigint")
+        ordered = ordered.join(F.broadcast(table), PART)
     number = F.col(POSITION) + F.col(_SHIFT)
-    return ordered.join(shift, PART).select(number.cast(key_type).alias(name), *df.columns)
+    return ordered.select(number.cast(key_type).alias(name), *df.columns)

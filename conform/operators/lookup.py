@@ -45,6 +45,9 @@ def left_lookup(
     shuffle, on the key and a salt that cuts hot keys into pieces. They share one shuffle of ``df`` except
     for a lookup that has hot keys of its own.
     """
+    added = [c for lookup in lookups for c in lookup.columns if c != on]
+    if len(set(df.columns) | set(added)) < len(df.columns) + len(added):
+        raise ValueError(f"the columns of the lookups must differ from each other and from {df.columns}: {added}")
     sizes = side_by_side([lambda lookup=lookup: measured_bytes(lookup) for lookup in lookups], len(lookups))
     fits = [size is not None and size <= broadcast_bytes for size in sizes]
     joined = df
@@ -60,7 +63,7 @@ def left_lookup(
         for lookup, own in zip(large, hot_in):
             if own:
                 joined = _shuffled(joined, on, [lookup], hot, own, hot_rows)
-    return joined.select(*df.columns, *[c for lookup in lookups for c in lookup.columns if c != on])
+    return joined.select(*df.columns, *added)
 
 
 def _shuffled(

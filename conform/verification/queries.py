@@ -68,8 +68,13 @@ def dim_products(spark: SparkSession, folder: str) -> DataFrame:
     return gold.dim_products(silver_products(spark, folder), silver_categories(spark, folder))
 
 
+def _dimensions(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """Products and customers; numbering them takes jobs of its own, which run side by side."""
+    return side_by_side([lambda: dim_products(spark, folder), lambda: dim_customers(spark, folder)], parallel=2)
+
+
 def fact_sales(spark: SparkSession, folder: str) -> DataFrame:
-    return gold.fact_sales(silver_sales(spark, folder), dim_products(spark, folder), dim_customers(spark, folder))
+    return gold.fact_sales(silver_sales(spark, folder), *_dimensions(spark, folder))
 
 
 # --- feeds and tables -------------------------------------------------------------------------------------
@@ -261,11 +266,8 @@ def gapless_order_key(spark: SparkSession, folder: str) -> DataFrame:
 
 def star_schema_checks(spark: SparkSession, folder: str) -> DataFrame:
     """One row: each check is itself one row, so the joins have nothing to multiply."""
-    sales, products, customers = (
-        silver_sales(spark, folder),
-        dim_products(spark, folder),
-        dim_customers(spark, folder),
-    )
+    sales = silver_sales(spark, folder)
+    products, customers = _dimensions(spark, folder)
     facts = gold.fact_sales(sales, products, customers)
     parts = [
         checks.not_empty(sales),

@@ -80,7 +80,8 @@ def crm_sales_details(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_quantity").cast("int").alias("q"),
         F.floor(F.col("l_extendedprice") / F.col("l_quantity")).cast("int").alias("p"),
     )
-    lines = parts.join(orders, "l_orderkey")
+    # Both sides grow with the data. The shuffle also spreads lines that were stored as one row group.
+    lines = parts.join(orders.hint("merge"), "l_orderkey")
     order_key, ordered, shipped, q, p = (F.col(c) for c in ("l_orderkey", "ordered", "shipped", "q", "p"))
     return lines.select(
         F.concat(F.lit("SO"), _text(order_key), F.lit("-"), _text(F.col("l_linenumber"))).alias("sls_ord_num"),

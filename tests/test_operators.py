@@ -223,9 +223,11 @@ def test_gapless_key_spreads_copies_over_tasks(spark):
     assert len(sizes) >= 6
 
 
-def test_gapless_key_numbers_rows_without_a_single_task(spark):
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_gapless_key_numbers_rows_without_a_single_task(spark, coalesce):
     df = spark.range(1000).withColumn("v", F.hash("id"))
-    text = plan(gapless_key(df, ["v"], "n"))
+    with settings(spark, spark__sql__adaptive__coalescePartitions__enabled=coalesce):
+        text = plan(gapless_key(df, ["v"], "n"))
     assert not any(step in text for step in ("SinglePartition", "Window", "hashpartitioning"))
 
 
@@ -302,6 +304,14 @@ def test_small_lookup_does_not_shuffle_the_main_side(spark):
         assert "Exchange hashpartitioning" not in text
 
 
+def test_left_lookup_refuses_columns_of_one_name(spark):
+    df = spark.createDataFrame([("a", 1)], "k string, v int")
+    with pytest.raises(ValueError, match="differ"):
+        left_lookup(df, "k", df)
+    with pytest.raises(ValueError, match="differ"):
+        left_lookup(df.select("k"), "k", df, df)
+
+
 def test_measured_bytes_bounds_the_text(spark):
     df = spark.createDataFrame([(1, "äö" * 100, D(2020, 1, 1)), (2, None, None)], "a int, t string, d date")
     assert 400 < measured_bytes(df) < 1000

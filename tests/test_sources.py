@@ -82,7 +82,7 @@ def test_run_bronze_lands_every_feed(spark, tmp_path, database, parallel):
     for i, spec in enumerate(specs):
         csv(tmp_path, spec.path.removeprefix(str(tmp_path) + "/"), "header\n" + "1\n" * (i + 1))
     assert [df.count() for df in run_bronze(spark, layout, specs, parallel)] == [1, 2, 3, 4, 5, 6]
-    landed = {t.name for t in spark.catalog.listTables(database)}
+    landed = {t.name for t in spark.catalog.listTables(database) if not t.isTemporary}
     assert landed == set(RAW_SCHEMAS)
 
 
