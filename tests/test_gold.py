@@ -137,12 +137,12 @@ def test_dim_products(spark, products):
 
 @pytest.fixture
 def sales(spark):
-    day = D(2018, 7, 4)
+    day = D(2019, 11, 30)
     return spark.createDataFrame(
         [
             ("SO1", "P1", 1, day, day, day, 20.0, 2, 10.0),
             ("SO2", "PX", 1, day, None, day, 20.0, 2, 10.0),
-            ("SO3", "P1", 999, day, day, day, None, 2, None),
+            ("SO3", "P1", -5, day, day, day, None, 2, None),
             ("SO4", None, None, None, None, None, None, None, None),
             ("SO1", "P1", 1, day, day, day, 20.0, 2, 10.0),
         ],
@@ -151,8 +151,8 @@ def sales(spark):
 
 
 def test_fact_sales(spark, sales):
-    products = spark.createDataFrame([(101, "P1")], "product_key int, product_number string")
-    customers = spark.createDataFrame([(201, 1)], "customer_key int, customer_id int")
+    products = spark.createDataFrame([(7, "P1")], "product_key int, product_number string")
+    customers = spark.createDataFrame([(3, 1)], "customer_key int, customer_id int")
     result = gold.fact_sales(sales, products, customers)
     assert checks.has_columns(
         result,
@@ -169,7 +169,7 @@ def test_fact_sales(spark, sales):
         ],
     )
     keys = sorted((row["order_number"], row["product_key"], row["customer_key"]) for row in result.collect() if row[1])
-    assert keys == [("SO1", 101, 201), ("SO1", 101, 201), ("SO3", 101, None)]
+    assert keys == [("SO1", 7, 3), ("SO1", 7, 3), ("SO3", 7, None)]
     assert checks.rows_preserved(sales, result).first() == (5, 5, True)
     assert tuple(checks.unresolved_keys(result, ["product_key", "customer_key"]).first()) == (5, 2, 2)
     assert gold.fact_sales(sales.limit(0), products, customers).count() == 0
@@ -179,10 +179,10 @@ def test_fact_sales(spark, sales):
 
 def test_gold_reads_named_views(spark, sales):
     sales.createOrReplaceTempView("some_sales")
-    spark.createDataFrame([(101, "P1")], "product_key int, product_number string").createOrReplaceTempView("some_p")
-    spark.createDataFrame([(201, 1)], "customer_key int, customer_id int").createOrReplaceTempView("some_c")
+    spark.createDataFrame([(7, "P1")], "product_key int, product_number string").createOrReplaceTempView("some_p")
+    spark.createDataFrame([(3, 1)], "customer_key int, customer_id int").createOrReplaceTempView("some_c")
     result = build_gold_table(spark, Layout(), "fact_sales", ["some_sales", "some_p", "some_c"])
-    assert result.filter("product_key = 101 and customer_key = 201").count() == 2
+    assert result.filter("product_key = 7 and customer_key = 3").count() == 2
 
 
 @pytest.fixture
