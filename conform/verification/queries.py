@@ -270,7 +270,6 @@ def star_schema_checks(spark: SparkSession, folder: str) -> DataFrame:
     products, customers = _dimensions(spark, folder)
     facts = gold.fact_sales(sales, products, customers)
     parts = [
-        checks.not_empty(sales),
         checks.key_uniqueness(customers, "customer_id").toDF("customer_ids", "repeated_customer_ids"),
         checks.key_uniqueness(products, "product_number").toDF("product_numbers", "repeated_product_numbers"),
         checks.key_gaps(customers, "customer_key").toDF(
@@ -285,7 +284,8 @@ def star_schema_checks(spark: SparkSession, folder: str) -> DataFrame:
         checks.unresolved_keys(facts, ["product_key", "customer_key"]).drop("rows"),
     ]
     numbered = [part.withColumn("check_row", F.lit(1)) for part in parts]
-    return reduce(lambda left, right: left.join(right, "check_row"), numbered).drop("check_row")
+    joined = reduce(lambda left, right: left.join(right, "check_row"), numbered).drop("check_row")
+    return joined.withColumn("not_empty", F.lit(checks.not_empty(sales)))
 
 
 QUERIES: dict[str, Query] = {

@@ -8,13 +8,18 @@ import uuid
 import pytest
 
 from conform.operators import checks
-from conform.plans import gold
+from conform.plans import gold, silver
 from conform.plans.run import Layout, build_gold_table, feed_specs, run_all, run_gold_table, run_silver_table
 from conform.plans.schemas import RAW_SCHEMAS
 from conform.verification.queries import write_csv_feeds
 
 D = datetime.date
 
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 CUSTOMER_SCHEMA = (
     "customer_id int, customer_number string, first_name string, last_name string, gender string, "
     "marital_status string, created_date date"
@@ -221,6 +226,16 @@ def test_layers(spark, layout, tmp_path):
     missing = ["product_key", "customer_key", "order_date", "sales_amount", "price"]
     assert tuple(checks.unresolved_keys(facts, missing).first()) == (60000, 1479, 1411, 1215, 898, 1040)
 
+    # The scans read what is needed and no more.
+    fact_plan = plan(build_gold_table(spark, layout, "fact_sales"))
+    assert "ReadSchema: struct<product_key:int,product_number:string>" in fact_plan
+    assert "ReadSchema: struct<customer_key:int,customer_id:int>" in fact_plan
+    assert "hashpartitioning" not in fact_plan
+    silver_tables = [spark.table(layout.name("silver", t)) for t in ("crm_prd_info", "erp_px_cat_g1v2")]
+    assert "PushedFilters: [IsNull(end_date)]" in plan(gold.categorized_products(*silver_tables))
+    for table in ("crm_sales_details", "erp_cust_az12", "erp_loc_a101", "erp_px_cat_g1v2"):
+        assert "Exchange" not in plan(silver.SILVER_TABLES[table](spark.table(layout.name("bronze", table))))
+
     # One table at a time, under names of the caller's choice.
     target = layout.name("silver", "elsewhere")
     source = layout.name("bronze", "erp_loc_a101")
