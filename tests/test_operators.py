@@ -160,6 +160,7 @@ def test_close_validity_of_hot_keys(spark, start_type, coalesce):
     with settings(spark, spark__sql__adaptive__coalescePartitions__enabled=coalesce):
         assert {item.key for item in hot_keys(df, "k", 500)} == {"hot", None}
         result = close_validity(df, "k", "s", hot_rows=500)
+        assert "NestedLoop" not in plan(result) and "SinglePartition" not in plan(result).split("BroadcastExchange")[0]
         assert result.columns == ["k", "id", "s", "end_date"]
         assert rows(result) == rows(expected_validity(df, ["id"]))
         assert rows(close_validity(df, "k", "s")) == rows(expected_validity(df, ["id"]))
@@ -286,6 +287,14 @@ def test_hot_keys_and_missing_keys_are_spread(spark, hot):
     assert max(s["count"] for s in sizes) < 2500
 
 
+def test_key_that_is_hot_on_both_sides(spark):
+    facts = shuffled(spark, [(i, "wide") for i in range(300)] + [(i, f"k{i}") for i in range(20)], "n int, k string")
+    lookup = shuffled(spark, [("wide", i) for i in range(200)] + [("other", i) for i in range(200)], "k string, a int")
+    with no_broadcast(spark):
+        result = left_lookup(facts, "k", lookup, broadcast_bytes=0, hot_rows=50)
+        assert rows(result) == rows(facts.join(lookup, "k", "left").select("n", "k", "a"))
+
+
 def test_copies_in_a_lookup_are_spread(spark):
     facts = shuffled(spark, [(1, "wide"), (2, "k1"), (3, None)], "n int, k string", 3)
     lookup = shuffled(spark, [("wide", "copy")] * 4000 + [("k1", "one")], "k string, a string", 16)
