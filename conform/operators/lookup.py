@@ -57,15 +57,29 @@ def left_lookup(
     large = [lookup for lookup, small in zip(lookups, fits) if not small]
     if large:
         hot = hot_keys(df, on, hot_rows)
-        hot_in = side_by_side([lambda lookup=lookup: hot_keys(lookup, on, hot_rows) for lookup in large], len(large))
-        together = [lookup for lookup, own in zip(large, hot_in) if not own]
+        hot_in = side_by_side([lambda lookup=lookup: _own_hot(df, on, lookup, hot_rows) for lookup in large], len(large))
+        together = [lookup for lookup, own in zip(large, hot_in) if own == []]
         joined = _shuffled(joined, on, together, hot, [], hot_rows)
         for lookup, own in zip(large, hot_in):
-            if own:
+            if own is None:
+                joined = joined.join(lookup, on, "left")
+            elif own:
                 joined = _shuffled(joined, on, [lookup], hot, own, hot_rows)
     return joined.select(*df.columns, *added)
 
 
+def _own_hot(df: DataFrame, on: str, lookup: DataFrame, hot_rows: int) -> list[HotKey] | None:
+    """Hot keys of the lookup itself; None where keys cannot be told apart by value.
+
+    That is so for keys of two types, which are equal only after a cast, and for timestamps in session time,
+    which are ambiguous in the hour that a change of clocks repeats.
+    """
+    key_type = lookup.schema[on].dataType
+    if key_type != df.schema[on].dataType or isinstance(key_type, T.TimestampType):
+        return None
+    return [item for item in hot_keys(lookup, on, hot_rows) if item.key is not None]
+
+
 def _shuffled(
     df: DataFrame, on: str, lookups: list[DataFrame], hot: list[HotKey], hot_in_lookup: list[HotKey], hot_rows: int
 ) -> DataFrame:
@@ -74,12 +88,12 @@ def _shuffled(
     Where a key is cut into pieces on one side, its rows on the other side are repeated for each piece. Rows
     whose key is NULL match nothing and are dealt out freely.
     """
-    if not hot and not hot_in_lookup:
+    if not lookups or not (hot or hot_in_lookup):
         for lookup in lookups:
             df = df.join(lookup, on, "left")
         return df
 
-    pieces = {item.key: (1, item.pieces(hot_rows)) for item in hot_in_lookup if item.key is not None}
+    pieces = {item.key: (1, item.pieces(hot_rows)) for item in hot_in_lookup}
     pieces |= {item.key: (item.pieces(hot_rows), 1) for item in hot if item.key is not None}
     schema = T.StructType(
         [df.schema[on], T.StructField(_PIECES, T.IntegerType()), T.StructField(_LOOKUP_PIECES, T.IntegerType())]

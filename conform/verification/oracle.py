@@ -185,7 +185,8 @@ _FROM_STEPS = {
         SELECT cst_id, cst_key, trim(cst_firstname) AS first_name, trim(cst_lastname) AS last_name
         FROM crm_cust_info""",
     "q07_silver_customers": "SELECT * FROM silver_customers",
-    "q08_category_id_from_key": "SELECT prd_id, prd_key, replace(prd_key[1:5], '-', '_') AS category_id FROM crm_prd_info",
+    "q08_category_id_from_key": """
+        SELECT prd_id, prd_key, replace(prd_key[1:5], '-', '_') AS category_id FROM crm_prd_info""",
     "q09_product_number_from_key": "SELECT prd_id, prd_key, substring(prd_key, 7) AS product_number FROM crm_prd_info",
     "q10_product_line_labels": """
         SELECT prd_id, prd_line,

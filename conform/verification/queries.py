@@ -9,7 +9,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conform.functions import null_after, packed_date, prefer, remove_text, repaired_amount, repaired_price, strip_prefix
+from conform.functions import (
+    null_after,
+    packed_date,
+    prefer,
+    remove_text,
+    repaired_amount,
+    repaired_price,
+    strip_prefix,
+)
 from conform.operators import checks, close_validity, current_only, dedupe_latest, gapless_key, left_lookup, resolve_key
 from conform.plans import gold, silver
 from conform.plans.run import Layout, feed_specs, run_all, run_bronze
@@ -177,9 +185,9 @@ def product_validity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def packed_dates(spark: SparkSession, folder: str) -> DataFrame:
-    packed = ["sls_order_dt", "sls_ship_dt", "sls_due_dt"]
+    dates = {"sls_order_dt": "order_date", "sls_ship_dt": "ship_date", "sls_due_dt": "due_date"}
     return sales_raw(spark, folder).select(
-        "sls_ord_num", *packed, *[packed_date(F.col(c)).alias(c.replace("sls_", "").replace("_dt", "_date")) for c in packed]
+        "sls_ord_num", *dates, *[packed_date(F.col(packed)).alias(name) for packed, name in dates.items()]
     )
 
 

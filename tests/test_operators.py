@@ -295,6 +295,21 @@ def test_key_that_is_hot_on_both_sides(spark):
         assert rows(result) == rows(facts.join(lookup, "k", "left").select("n", "k", "a"))
 
 
+@pytest.mark.parametrize("key_type", ["int", "bigint", "string", "date", "timestamp", "timestamp_ntz"])
+def test_left_lookup_on_keys_of_other_types(spark, key_type):
+    def typed(df, name):
+        day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("k"))
+        return df.withColumn("k", (F.col("k") if name in ("int", "bigint", "string") else day).cast(name))
+
+    facts = shuffled(spark, [(i, 1) for i in range(400)] + [(i, i % 50) for i in range(200)], "n int, k int")
+    lookup = shuffled(spark, [(2, i) for i in range(300)] + [(i, i) for i in range(30)] + [(None, 1)] * 300, "k int, a int")
+    with no_broadcast(spark):
+        for other in {key_type, "bigint" if key_type in ("int", "string") else key_type}:
+            left, right = typed(facts, key_type), typed(lookup, other)
+            result = left_lookup(left, "k", right, broadcast_bytes=0, hot_rows=50)
+            assert rows(result) == rows(left.join(right, "k", "left").select("n", left["k"], "a"))
+
+
 def test_copies_in_a_lookup_are_spread(spark):
     facts = shuffled(spark, [(1, "wide"), (2, "k1"), (3, None)], "n int, k string", 3)
     lookup = shuffled(spark, [("wide", "copy")] * 4000 + [("k1", "one")], "k string, a string", 16)
