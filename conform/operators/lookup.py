@@ -57,7 +57,9 @@ def left_lookup(
     large = [lookup for lookup, small in zip(lookups, fits) if not small]
     if large:
         hot = hot_keys(df, on, hot_rows)
-        hot_in = side_by_side([lambda lookup=lookup: _own_hot(df, on, lookup, hot_rows) for lookup in large], len(large))
+        hot_in = side_by_side(
+            [lambda lookup=lookup: _own_hot(df, on, lookup, hot_rows) for lookup in large], len(large)
+        )
         together = [lookup for lookup, own in zip(large, hot_in) if own == []]
         joined = _shuffled(joined, on, together, hot, [], hot_rows)
         for lookup, own in zip(large, hot_in):

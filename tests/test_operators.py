@@ -302,7 +302,8 @@ def test_left_lookup_on_keys_of_other_types(spark, key_type):
         return df.withColumn("k", (F.col("k") if name in ("int", "bigint", "string") else day).cast(name))
 
     facts = shuffled(spark, [(i, 1) for i in range(400)] + [(i, i % 50) for i in range(200)], "n int, k int")
-    lookup = shuffled(spark, [(2, i) for i in range(300)] + [(i, i) for i in range(30)] + [(None, 1)] * 300, "k int, a int")
+    repeated = [(2, i) for i in range(300)] + [(None, 1)] * 300
+    lookup = shuffled(spark, repeated + [(i, i) for i in range(30)], "k int, a int")
     with no_broadcast(spark):
         for other in {key_type, "bigint" if key_type in ("int", "string") else key_type}:
             left, right = typed(facts, key_type), typed(lookup, other)
