@@ -24,7 +24,7 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     state = None
     while True:
         links = staged(_small_star(_large_star(links)), "links")
-        totals = links.agg(F.count("*"), F.sum("v"), F.sum(F.xxhash64("u", "v") % (1 << 40))).head()
+        totals = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % (1 << 24)), F.bit_xor(F.xxhash64("u", "v"))).head()
         if totals == state or totals[0] == 0:
             break
         state = totals
