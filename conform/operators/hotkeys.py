@@ -1,56 +1,32 @@
-"""Finding the few keys that hold too many rows for one task."""
+"""Finding the keys that hold too many rows for one task."""
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from conform.sources.workspace import durable
 
 # Rows of one key that a single task may sort or join. Above this the key is split.
 HOT_ROWS = 5_000_000
 
-# Rows are counted in this many groups of input partitions, so that no task merges all sketches. The sketch
-# of a group finds every key with more than about 1 / 7,500 of its rows.
-GROUPS = 64
-TRACKED_ITEMS = 10_000
-
-# The most keys reported, which bounds what reaches the driver.
-MOST_HOT = 1_000
+# Hot keys, as measured, that are sent to every executor. There are at most as many as rows / hot_rows.
+SPREAD_BYTES = 128 * 1024 * 1024
 
+KEY, ROWS = "__hot_key", "__hot_rows"
 
-class HotKey(NamedTuple):
-    key: object
-    rows: int
 
-    def pieces(self, hot_rows: int) -> int:
-        """Into how many pieces of at most ``hot_rows`` rows it has to be cut."""
-        return -(-self.rows // hot_rows)
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Every key (NULL included) with more than ``hot_rows`` rows, and how many: one row per key.
 
+    The counts are exact and taken in one pass over the key column, in parts before the shuffle, so that hot keys cost no
+    more than others. Keys stay in Spark, equal as its joins hold them equal, and may be of any type that it can group.
+    The table is stored; ``df`` should be one too, or it is computed for this pass once more.
+    """
+    counts = df.groupBy(F.col(key).alias(KEY)).agg(F.count("*").alias(ROWS))
+    return durable(counts.filter(F.col(ROWS) > hot_rows))
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list[HotKey]:
-    """Keys (NULL included) with more than ``hot_rows`` rows, by one pass over the key column.
 
-    The counts are estimates. Callers use them to choose a plan only; every plan gives the same rows.
-    """
-    frequent = (
-        df.select(F.col(key).alias("key"), F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("group"))
-        .groupBy("group")
-        .agg(F.expr(f"approx_top_k(key, {MOST_HOT}, {TRACKED_ITEMS})").alias("top"))
-        .select(F.inline("top"))
-    )
-    found = (
-        frequent.groupBy(F.col("item").alias("key"))
-        .agg(F.sum("count").alias("rows"))
-        .filter(F.col("rows") > hot_rows)
-        .orderBy(F.desc("rows"), "key")
-        .limit(MOST_HOT)
-    )
-    return [HotKey(row["key"], row["rows"]) for row in found.collect()]
-
-
-def hot_key_table(df: DataFrame, key: str, hot: list[HotKey], name: str) -> DataFrame:
-    """The hot keys as a column of a table with at most ``MOST_HOT`` rows."""
-    schema = T.StructType([T.StructField(name, df.schema[key].dataType)])
-    return df.sparkSession.createDataFrame([(item.key,) for item in hot], schema)
+def pieces(hot_rows: int):
+    """Into how many pieces of at most ``hot_rows`` rows a key has to be cut."""
+    return F.ceil(F.col(ROWS) / hot_rows).cast("int")

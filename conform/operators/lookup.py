@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conform.operators.hotkeys import HOT_ROWS, HotKey, hot_keys
+from conform.operators.hotkeys import HOT_ROWS, KEY, SPREAD_BYTES, hot_keys, pieces
+from conform.operators.select import sortable_columns
 from conform.sources.jobs import side_by_side
 
 # Largest lookup, as measured, that is sent whole to every executor.
@@ -14,6 +15,7 @@ BROADCAST_BYTES = 128 * 1024 * 1024
 
 _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 _SALT = "__salt"
+_ON = "__on"
 _PIECES = "__pieces"
 _LOOKUP_PIECES = "__lookup_pieces"
 _COPY = "__copy"
@@ -55,78 +57,102 @@ def left_lookup(
         if small:
             joined = joined.join(F.broadcast(lookup), on, "left")
     large = [lookup for lookup, small in zip(lookups, fits) if not small]
-    if large:
-        hot = hot_keys(df, on, hot_rows)
-        hot_in = side_by_side(
-            [lambda lookup=lookup: _own_hot(df, on, lookup, hot_rows) for lookup in large], len(large)
-        )
-        together = [lookup for lookup, own in zip(large, hot_in) if own == []]
-        joined = _shuffled(joined, on, together, hot, [], hot_rows)
-        for lookup, own in zip(large, hot_in):
-            if own is None:
-                joined = joined.join(lookup, on, "left")
-            elif own:
-                joined = _shuffled(joined, on, [lookup], hot, own, hot_rows)
+    by_type: dict[str, list[DataFrame]] = {}
+    for lookup in large:
+        by_type.setdefault(_common_type(df, lookup, on), []).append(lookup)
+    for kind, group in by_type.items():
+        keyed = [_keyed(lookup, on, kind).drop(on).filter(F.col(_ON).isNotNull()) for lookup in group]
+        main = _keyed(df, on, kind)
+        hot = hot_keys(main, _ON, hot_rows)
+        hot_in = side_by_side([lambda side=side: hot_keys(side, _ON, hot_rows) for side in keyed], len(keyed))
+        joined = _keyed(joined, on, kind)
+        own = [not table.isEmpty() for table in hot_in]
+        together = [side for side, split in zip(keyed, own) if not split]
+        joined = _shuffled(joined, together, hot, None, hot_rows)
+        for side, table, split in zip(keyed, hot_in, own):
+            if split:
+                joined = _shuffled(joined, [side], hot, table, hot_rows)
+        joined = joined.drop(_ON)
     return joined.select(*df.columns, *added)
 
 
-def _own_hot(df: DataFrame, on: str, lookup: DataFrame, hot_rows: int) -> list[HotKey] | None:
-    """Hot keys of the lookup itself; None where keys cannot be told apart by value.
+def _common_type(df: DataFrame, lookup: DataFrame, on: str) -> str:
+    """The type in which Spark compares the keys of the two sides."""
+    sides = [frame.schema[on].dataType for frame in (df, lookup)]
+    if sides[0] == sides[1]:
+        return sides[0].simpleString()
+    empty = df.sparkSession.createDataFrame([], T.StructType([T.StructField(name, kind) for name, kind in zip("ab", sides)]))
+    if T.StringType() in sides:
+        # Compared as the other side's type is compared with text.
+        other = next(kind for kind in sides if kind != T.StringType())
+        return "bigint" if isinstance(other, T.IntegralType) else other.simpleString()
+    return empty.select(F.coalesce("a", "b").alias("c")).schema["c"].dataType.simpleString()
 
-    That is so for keys of two types, which are equal only after a cast, and for timestamps in session time,
-    which are ambiguous in the hour that a change of clocks repeats.
-    """
-    key_type = lookup.schema[on].dataType
-    if key_type != df.schema[on].dataType or isinstance(key_type, T.TimestampType):
-        return None
-    return [item for item in hot_keys(lookup, on, hot_rows) if item.key is not None]
+
+def _keyed(df: DataFrame, on: str, kind: str) -> DataFrame:
+    same = df.schema[on].dataType.simpleString() == kind
+    return df.withColumn(_ON, F.col(on) if same else F.col(on).cast(kind))
 
 
 def _shuffled(
-    df: DataFrame, on: str, lookups: list[DataFrame], hot: list[HotKey], hot_in_lookup: list[HotKey], hot_rows: int
+    df: DataFrame, lookups: list[DataFrame], hot: DataFrame, hot_in_lookup: DataFrame | None, hot_rows: int
 ) -> DataFrame:
     """Left joins by one shuffle of ``df`` in which no task gets all rows of a hot key.
 
     Where a key is cut into pieces on one side, its rows on the other side are repeated for each piece. Rows
     whose key is NULL match nothing and are dealt out freely.
     """
-    if not lookups or not (hot or hot_in_lookup):
+    spread = _spread(hot, hot_in_lookup, hot_rows)
+    if not lookups or spread is None:
         for lookup in lookups:
-            df = df.join(lookup, on, "left")
+            df = df.join(lookup, _ON, "left")
         return df
-
-    pieces = {item.key: (1, item.pieces(hot_rows)) for item in hot_in_lookup}
-    pieces |= {item.key: (item.pieces(hot_rows), 1) for item in hot if item.key is not None}
-    schema = T.StructType(
-        [df.schema[on], T.StructField(_PIECES, T.IntegerType()), T.StructField(_LOOKUP_PIECES, T.IntegerType())]
-    )
-    # At most MOST_HOT keys of either side.
-    spread = F.broadcast(df.sparkSession.createDataFrame([(key, *cut) for key, cut in pieces.items()], schema))
-
-    joined = _salted(df, on, spread, cut=_PIECES, repeated=_LOOKUP_PIECES if hot_in_lookup else None)
+    joined = _salted(df, spread, cut=_PIECES, repeated=_LOOKUP_PIECES if hot_in_lookup is not None else None)
     for lookup in lookups:
-        known = lookup.filter(F.col(on).isNotNull()).withColumn(_MATCHED, F.lit(True))
-        other = _salted(known, on, spread, cut=_LOOKUP_PIECES, repeated=_PIECES if hot else None)
-        joined = joined.join(other.drop(_PIECES, _LOOKUP_PIECES), [on, _SALT], "left")
-        if hot_in_lookup:
+        other = _salted(lookup.withColumn(_MATCHED, F.lit(True)), spread, cut=_LOOKUP_PIECES, repeated=_PIECES)
+        joined = joined.join(other.drop(_PIECES, _LOOKUP_PIECES), [_ON, _SALT], "left")
+        if hot_in_lookup is not None:
             # A key that is hot in the lookup has a match there, though not in every piece.
             joined = joined.filter((F.coalesce(_LOOKUP_PIECES, F.lit(1)) == 1) | F.col(_MATCHED).isNotNull())
         joined = joined.drop(_MATCHED)
     return joined.drop(_SALT, _PIECES, _LOOKUP_PIECES)
 
 
-def _salted(df: DataFrame, on: str, spread: DataFrame, cut: str, repeated: str | None) -> DataFrame:
+def _spread(hot: DataFrame, hot_in_lookup: DataFrame | None, hot_rows: int) -> DataFrame | None:
+    """One row per hot key: its pieces on either side. A key that is hot on both sides is cut on the main side.
+
+    None where there is no hot key. More of them than can be broadcast, trillions of rows at the usual limit,
+    are left to adaptive execution, which splits partitions instead of keys.
+    """
+    known = hot.filter(F.col(KEY).isNotNull())
+    one = F.lit(1)
+    spread = known.select(KEY, pieces(hot_rows).alias(_PIECES), one.alias(_LOOKUP_PIECES))
+    if hot_in_lookup is not None:
+        theirs = hot_in_lookup.join(known.select(KEY), KEY, "left_anti")
+        spread = spread.unionByName(theirs.select(KEY, one.alias(_PIECES), pieces(hot_rows).alias(_LOOKUP_PIECES)))
+    # Rows without a key may be hot as well, and are dealt out by the salt alone.
+    if hot.isEmpty() and spread.isEmpty():
+        return None
+    size = measured_bytes(spread)
+    if size is None:
+        size = spread.count() * 1024
+    return F.broadcast(spread) if size <= SPREAD_BYTES else None
+
+
+def _salted(df: DataFrame, spread: DataFrame, cut: str, repeated: str | None) -> DataFrame:
     """Add a salt that cuts the rows of a key into ``cut`` pieces, each repeated for the pieces of the other side.
 
-    The salt comes from the input partition of a row: the same again when the task is run again, and
-    different even among exact copies.
+    The salt comes from the row and its input partition: the same again when the task is run again, different for
+    the rows of a key whether they lie in one partition or in many.
     """
-    salted = df.withColumn(_SALT, F.spark_partition_id()).join(spread, on, "left")
+    columns = sortable_columns(df, without=[_ON])
+    number = F.xxhash64(*columns, F.spark_partition_id())
+    salted = df.withColumn(_SALT, number).join(spread, F.col(_ON) == F.col(KEY), "left").drop(KEY)
     salt = F.pmod(_SALT, F.coalesce(cut, F.lit(1)))
     if repeated is not None:
         salted = salted.withColumn(_COPY, F.explode(F.sequence(F.lit(0), F.coalesce(repeated, F.lit(1)) - 1)))
         salt = salt + F.col(_COPY)
-    return salted.withColumn(_SALT, F.when(F.col(on).isNull(), F.col(_SALT)).otherwise(salt)).drop(_COPY)
+    return salted.withColumn(_SALT, F.when(F.col(_ON).isNull(), F.col(_SALT)).otherwise(salt)).drop(_COPY)
 
 
 def resolve_key(

@@ -8,14 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from conform.functions import last_day_before
-from conform.operators.hotkeys import HOT_ROWS, hot_key_table, hot_keys
+from conform.operators.hotkeys import HOT_ROWS, KEY, SPREAD_BYTES, hot_keys
+from conform.operators.lookup import measured_bytes
 from conform.operators.ordering import PART, POSITION, in_order
 from conform.operators.select import sortable_columns
 
 _NEXT = "__next"
 _CUT = "__cut"
 _HEAD = "__head"
-_HOT = "__hot"
 
 
 def close_validity(
@@ -32,15 +32,17 @@ def close_validity(
     Versions that start together are ordered by ``tie_break``, every other column unless given. Rows without
     a key form a key of their own, and a version without a start comes first.
 
-    Keys of ordinary size are handled by one window per key. Keys above ``hot_rows`` rows, if a pass over the
-    key column finds any, are sorted across many tasks instead and stitched together where they were cut.
+    Keys of ordinary size are handled by one window per key. Keys above ``hot_rows`` rows, counted by a pass over the
+    key column, are sorted across many tasks instead and stitched together where they were cut.
     """
     ties = sortable_columns(df, without=[key, start]) if tie_break is None else list(tie_break)
     hot = hot_keys(df, key, hot_rows)
-    if not hot:
+    if hot.isEmpty():
         return _by_window(df, key, start, end, ties)
-    hot_table = F.broadcast(hot_key_table(df, key, hot, _HOT))
-    is_hot = F.col(key).eqNullSafe(F.col(_HOT))
+    hot_table, size = hot.select(KEY), measured_bytes(hot)
+    if size is not None and size <= SPREAD_BYTES:
+        hot_table = F.broadcast(hot_table)
+    is_hot = F.col(key).eqNullSafe(F.col(KEY))
     ordinary = _by_window(df.join(hot_table, is_hot, "left_anti"), key, start, end, ties)
     return ordinary.unionByName(_by_order(df.join(hot_table, is_hot, "left_semi"), key, start, end, ties))
 

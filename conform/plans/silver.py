@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from conform.functions import (
+    NOT_AVAILABLE,
     key_head,
     key_tail,
     map_codes,
@@ -54,7 +55,7 @@ def product_line_label(code: Column) -> Column:
 
 def country_label(code: Column) -> Column:
     """Country names are compared as written, and names that are no code stay."""
-    return map_codes(code, COUNTRY, default=None, blank="n/a", fold_case=False)
+    return map_codes(code, COUNTRY, default=None, blank=NOT_AVAILABLE, fold_case=False)
 
 
 def category_id(key: Column) -> Column:

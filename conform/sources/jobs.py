@@ -6,10 +6,18 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
+from pyspark import inheritable_thread_target
+from pyspark.sql import SparkSession
+
 Result = TypeVar("Result")
 
 
 def side_by_side(jobs: Sequence[Callable[[], Result]], parallel: int = 1) -> list[Result]:
-    """Call the jobs, up to ``parallel`` at a time, and return their results in order."""
+    """Call the jobs, up to ``parallel`` at a time, and return their results in order.
+
+    Job group, tags and scheduler pool of the caller hold for the jobs as well.
+    """
+    session = SparkSession.getActiveSession()
+    calls = [inheritable_thread_target(session)(job) if session else job for job in jobs]
     with ThreadPoolExecutor(max_workers=max(parallel, 1)) as pool:
-        return list(pool.map(lambda job: job(), jobs))
+        return list(pool.map(lambda call: call(), calls))

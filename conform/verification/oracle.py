@@ -50,22 +50,25 @@ STEPS = {
               FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""",
     "erp_cust_az12": """
         SELECT CASE WHEN c_custkey % 2 = 0 THEN 'NAS' ELSE '' END
-                   || 'AW' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS cid,
+                   || CASE WHEN c_custkey % 19 = 0 THEN 'XX' ELSE 'AW' END
+                   || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS cid,
                CASE WHEN c_custkey % 17 = 0 THEN DATE '2099-01-01'
                     ELSE DATE '1950-01-01' + CAST(c_custkey * 13 % 18000 AS INT) END AS bdate,
                CASE c_custkey % 7 WHEN 0 THEN 'F' WHEN 1 THEN 'Male ' WHEN 2 THEN 'FEMALE' WHEN 3 THEN 'm'
                                   WHEN 4 THEN '' WHEN 5 THEN 'X' END AS gen
-        FROM customer WHERE c_custkey % 19 <> 0""",
+        FROM customer""",
     "erp_loc_a101": """
-        SELECT 'AW-' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS cid,
+        SELECT CASE WHEN c_custkey % 23 = 0 THEN 'XX-' ELSE 'AW-' END || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS cid,
                CASE n_nationkey % 7 WHEN 0 THEN 'DE' WHEN 1 THEN 'US ' WHEN 2 THEN 'USA' WHEN 3 THEN '  '
                                     WHEN 5 THEN ' ' || n_name || ' ' WHEN 6 THEN n_name END AS cntry
-        FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 23 <> 0""",
+        FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "erp_px_cat_g1v2": """
-        SELECT 'C' || CAST(r_regionkey AS VARCHAR) || '_' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS id,
+        SELECT CASE WHEN n_nationkey = 24 THEN 'X' ELSE 'C' END || CAST(r_regionkey AS VARCHAR)
+                   || '_' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS id,
                r_name AS cat, n_name AS subcat,
                CASE WHEN n_nationkey % 2 = 0 THEN 'Yes' ELSE 'No' END AS maintenance
-        FROM region CROSS JOIN nation WHERE n_nationkey <> 24""",
+        FROM (SELECT DISTINCT p_partkey // 3 % 5 AS r, p_partkey // 3 // 5 % 25 AS n FROM part)
+        JOIN region ON r = r_regionkey JOIN nation ON n = n_nationkey""",
     "latest_customers": """
         SELECT cst_id, cst_key, cst_firstname, cst_lastname, cst_martial_status, cst_gndr, cst_create_date
         FROM (SELECT *, row_number() OVER (PARTITION BY cst_id ORDER BY cst_create_date DESC NULLS LAST) AS place

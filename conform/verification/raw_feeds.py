@@ -105,12 +105,13 @@ def crm_sales_details(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def erp_cust_az12(spark: SparkSession, folder: str) -> DataFrame:
+    # Some identifiers match no customer.
     k = F.col("c_custkey")
+    known = F.when(k % 19 == 0, "XX").otherwise("AW")
     return (
         table(spark, folder, "customer")
-        .filter(k % 19 != 0)
         .select(
-            F.concat(F.when(k % 2 == 0, "NAS").otherwise(""), F.lit("AW"), _padded(k, 8)).alias("cid"),
+            F.concat(F.when(k % 2 == 0, "NAS").otherwise(""), known, _padded(k, 8)).alias("cid"),
             F.when(k % 17 == 0, F.lit("2099-01-01").cast("date"))
             .otherwise(F.date_add(F.lit("1950-01-01").cast("date"), (k * 13 % 18000).cast("int")))
             .alias("bdate"),
@@ -122,9 +123,10 @@ def erp_cust_az12(spark: SparkSession, folder: str) -> DataFrame:
 def erp_loc_a101(spark: SparkSession, folder: str) -> DataFrame:
     k, n = F.col("c_custkey"), F.col("n_nationkey")
     nations = table(spark, folder, "nation").select("n_nationkey", "n_name")
-    customers = table(spark, folder, "customer").filter(k % 23 != 0)
+    known = F.when(k % 23 == 0, "XX-").otherwise("AW-")
+    customers = table(spark, folder, "customer")
     return customers.join(nations, F.col("c_nationkey") == n).select(
-        F.concat(F.lit("AW-"), _padded(k, 8)).alias("cid"),
+        F.concat(known, _padded(k, 8)).alias("cid"),
         F.when(n % 7 == 5, F.concat(F.lit(" "), "n_name", F.lit(" ")))
         .when(n % 7 == 6, F.col("n_name"))
         .otherwise(_cycle(n, {0: "DE", 1: "US ", 2: "USA", 3: "  "}, 7))
@@ -133,12 +135,17 @@ def erp_loc_a101(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def erp_px_cat_g1v2(spark: SparkSession, folder: str) -> DataFrame:
-    # Every nation once per region.
-    nations = table(spark, folder, "nation").filter("n_nationkey <> 24").select("n_nationkey", "n_name")
-    paired = nations.withColumn("r_regionkey", F.explode(F.sequence(F.lit(0), F.lit(4))))
+    # The categories that products point to; those of one nation under identifiers that match none of them.
+    k = _third(F.col("p_partkey"))
+    used = table(spark, folder, "part").select((k % 5).alias("r_regionkey"), (F.floor(k / 5).cast("bigint") % 25).alias("n_nationkey"))
+    named = (
+        used.distinct()
+        .join(table(spark, folder, "region").select("r_regionkey", "r_name"), "r_regionkey")
+        .join(table(spark, folder, "nation").select("n_nationkey", "n_name"), "n_nationkey")
+    )
     n = F.col("n_nationkey")
-    return paired.join(table(spark, folder, "region"), "r_regionkey").select(
-        F.concat(F.lit("C"), _text(F.col("r_regionkey")), F.lit("_"), _padded(n, 2)).alias("id"),
+    return named.select(
+        F.concat(F.when(n == 24, "X").otherwise("C"), _text(F.col("r_regionkey")), F.lit("_"), _padded(n, 2)).alias("id"),
         F.col("r_name").alias("cat"),
         F.col("n_name").alias("subcat"),
         F.when(n % 2 == 0, "Yes").otherwise("No").alias("maintenance"),

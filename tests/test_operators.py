@@ -20,7 +20,7 @@ from conform.operators import (
     project,
     resolve_key,
 )
-from conform.operators.hotkeys import hot_keys
+from conform.operators.hotkeys import KEY, ROWS, hot_keys, pieces
 from conform.operators.lookup import measured_bytes
 
 D = datetime.date
@@ -109,10 +109,70 @@ def test_dedupe_limits_each_key_before_the_shuffle(spark):
 def test_hot_keys(spark):
     key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 4 == 0, None).otherwise(F.col("id").cast("string"))
     found = hot_keys(spark.range(30000).select(key.alias("k")), "k", 1000)
-    assert {item.key for item in found} == {"hot", None}
-    assert found[0].rows == 10000
-    assert found[0].pieces(1000) == 10 and found[0].pieces(3000) == 4
-    assert hot_keys(spark.range(0).select(key.alias("k")), "k", 0) == []
+    cut = found.select(KEY, ROWS, pieces(1000).alias("thousands"), pieces(3000).alias("more"))
+    assert rows(cut) == rows(
+        spark.createDataFrame([("hot", 10000, 10, 4), (None, 5000, 5, 2)], "k string, n bigint, t int, m int")
+    )
+    assert hot_keys(spark.range(0).select(key.alias("k")), "k", 0).isEmpty()
+
+
+@pytest.mark.parametrize("many", [1_500, 20_000])
+def test_every_hot_key_is_found(spark, many):
+    df = spark.range(many * 4).select((F.col("id") % many).alias("k"))
+    assert hot_keys(df, "k", 3).count() == many
+    assert hot_keys(df, "k", 4).isEmpty()
+
+
+ODD_KEYS = {
+    "nan": ("double", [float("nan"), 1.5, -0.0, 0.0, None]),
+    "binary": ("binary", [b"hot", b"", b"x", None]),
+    "struct": ("struct<a:int,b:string>", [(1, "x"), (1, None), (2, "y"), None]),
+    "far date": ("date", []),
+}
+
+
+def far_date():
+    return F.expr("date_add(date'9999-12-30', cast(id % 4 as int))").alias("k")
+
+
+@pytest.mark.parametrize("name", list(ODD_KEYS))
+def test_odd_keys_that_are_hot_on_both_sides(spark, name):
+    kind, values = ODD_KEYS[name]
+    if kind == "date":
+        facts = spark.range(600).select(F.col("id").alias("n"), far_date())
+        lookup = spark.range(80).select(far_date(), F.col("id").alias("a"))
+    else:
+        pool = [values[0]] * 3 + [values[1]] * 2 + values[2:]
+        facts = shuffled(spark, [(i, pool[i % len(pool)]) for i in range(600)], f"n int, k {kind}")
+        lookup = shuffled(spark, [(pool[i % len(pool)], i) for i in range(80)], f"k {kind}, a int")
+    with no_broadcast(spark):
+        result = left_lookup(facts, "k", lookup, broadcast_bytes=0, hot_rows=15)
+        expected = facts.join(lookup, "k", "left").select("n", "k", "a")
+        digest = [F.count("*"), F.sum("n"), F.sum("a"), F.count("k"), F.bit_xor(F.xxhash64("n", "a"))]
+        assert result.agg(*digest).collect() == expected.agg(*digest).collect()
+    versions = facts.withColumn("s", F.expr("date_add(date'2020-01-01', cast(n % 50 as int))"))
+    closed = close_validity(versions, "k", "s", tie_break=["n"], hot_rows=40)
+    window = Window.partitionBy("k").orderBy("s", "n")
+    plain = versions.withColumn("end_date", F.date_sub(F.lead("s").over(window), 1))
+    digest = [F.count("*"), F.count("end_date"), F.bit_xor(F.xxhash64("n", "s", "end_date"))]
+    assert closed.agg(*digest).collect() == plain.agg(*digest).collect()
+
+
+@pytest.mark.parametrize("case", ["two types", "timestamp", "hashed by the key"])
+def test_hot_keys_are_spread_in_every_case(spark, case):
+    facts = spark.range(8000).select(
+        F.col("id").alias("n"), F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).cast("int").alias("k")
+    )
+    lookup = spark.createDataFrame([(7, 1), (9, 2)], "k bigint, a int")
+    if case == "timestamp":
+        facts, lookup = (side.withColumn("k", F.timestamp_seconds("k")) for side in (facts, lookup))
+    if case == "hashed by the key":
+        facts, lookup = facts.repartition(8, "k"), lookup.withColumn("k", F.col("k").cast("int"))
+    with no_broadcast(spark), settings(spark, spark__sql__adaptive__enabled="false"):
+        result = left_lookup(facts, "k", lookup, broadcast_bytes=0, hot_rows=250)
+        sizes = result.groupBy("a", F.spark_partition_id().alias("p")).count().where("a = 1").collect()
+        assert rows(result) == rows(facts.join(lookup, "k", "left").select("n", "k", "a"))
+    assert len(sizes) >= 5
 
 
 # --- validity ---------------------------------------------------------------------------------------------
@@ -158,7 +218,7 @@ def test_close_validity_of_hot_keys(spark, start_type, coalesce):
         data.append((key, i, start))
     df = shuffled(spark, data, "k string, id int, s date").withColumn("s", F.col("s").cast(start_type))
     with settings(spark, spark__sql__adaptive__coalescePartitions__enabled=coalesce):
-        assert {item.key for item in hot_keys(df, "k", 500)} == {"hot", None}
+        assert {row[KEY] for row in hot_keys(df, "k", 500).collect()} == {"hot", None}
         result = close_validity(df, "k", "s", hot_rows=500)
         assert "NestedLoop" not in plan(result) and "SinglePartition" not in plan(result).split("BroadcastExchange")[0]
         assert result.columns == ["k", "id", "s", "end_date"]
