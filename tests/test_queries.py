@@ -6,6 +6,8 @@ import pytest
 from compare import duck, duck_rows, spark_rows
 
 import __spark_entry__ as entry_points
+from conform.verification.oracle import ORACLE_SQL
+from conform.verification.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -17,13 +19,14 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLE_SQL) <= set(entry_points.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
-    df = entry_points.queries()[name](spark, FOLDER)
-    columns, expected = duck_rows(connection, entry_points.oracle_sql()[name])
+    df = QUERIES[name](spark, FOLDER)
+    columns, expected = duck_rows(connection, ORACLE_SQL[name])
     assert sorted(df.columns) == sorted(columns)
     assert spark_rows(df) == expected
 
