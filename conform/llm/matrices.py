@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conform.llm.packing import best_fit_decreasing, linear_grouping, packed
 from conform.llm.staging import staged
-from conform.llm.tokens import default_tokenizer, token_pieces
+from conform.llm.tokens import bytes_per_id, default_tokenizer, token_pieces
 
 
 def packed_documents(
@@ -23,7 +23,7 @@ def packed_documents(
     Every document's ids and an end id are cut into pieces of ``capacity``, and the pieces packed by linear grouping.
     Rows that repeat an id are packed each for itself; other columns are not touched.
     """
-    pieces = token_pieces(df, id_column, text_column, path or default_tokenizer(), capacity, end_id, with_ids=False)
+    pieces = token_pieces(df, id_column, text_column, path or default_tokenizer(), capacity, end_id)
     rows = packed(staged(pieces, "pieces"), capacity, linear_grouping)
     return rows.select(
         F.col("id").alias(id_column),
@@ -48,14 +48,17 @@ def write_matrices(
 ) -> None:
     """Best-fit-decreasing packing, written to ``folder`` as Parquet with one row per sequence.
 
-    sequence_id; input_ids, exactly ``capacity`` little-endian unsigned 32-bit ids, padded at the end; n_tokens without
+    sequence_id; input_ids, exactly ``capacity`` little-endian unsigned ids of 16 bits, or 32 for vocabularies that need them,
+    padded at the end; n_tokens without
     padding; cumulative_lengths, from 0 to n_tokens; position_resets, the offsets at which positions start from 0 again
     (the padding's included); and documents, the id, piece and start of each segment. So every document can be put
     together again. Longer documents are cut without loss; documents without any id (null and empty texts when there is
     no end id) are in no sequence. The ids move once, to their sequence, which holds ``capacity`` of them at most.
     """
-    pieces = token_pieces(df, id_column, text_column, path or default_tokenizer(), capacity, end_id, with_ids=True)
-    rows = packed(staged(pieces, "pieces"), capacity, best_fit_decreasing).where("length > 0")
+    path = path or default_tokenizer()
+    width = bytes_per_id(path, end_id, pad_id)
+    pieces = token_pieces(df, id_column, text_column, path, capacity, end_id, width)
+    rows = packed(staged(pieces, "pieces", "zstd"), capacity, best_fit_decreasing).where("length > 0")
     segments = F.sort_array(F.collect_list(F.struct("offset", "length", "id", "piece", "start", "ids")))
     joined = F.aggregate("segments", F.lit(b""), lambda so_far, segment: F.concat(so_far, segment["ids"]))
     lengths = F.sum("length").cast("int")
@@ -63,8 +66,8 @@ def write_matrices(
     ends = F.transform("segments", lambda segment: (segment["offset"] + segment["length"]).cast("int"))
     resets = F.transform("segments", lambda segment: segment["offset"].cast("int"))
     padding = F.when(F.col("n_tokens") < capacity, F.array("n_tokens")).otherwise(F.array().cast("array<int>"))
-    pad = pad_id.to_bytes(4, "little") * capacity
-    padded = F.substring(F.concat(joined, F.lit(pad)), 1, 4 * capacity)
+    pad = pad_id.to_bytes(width, "little") * capacity
+    padded = F.substring(F.concat(joined, F.lit(pad)), 1, width * capacity)
     sequences.select(
         "sequence_id",
         padded.alias("input_ids"),
@@ -77,4 +80,4 @@ def write_matrices(
                 segment["id"].alias(id_column), segment["piece"].alias("piece"), segment["start"].alias("start")
             ),
         ).alias("documents"),
-    ).write.parquet(folder)
+    ).write.parquet(folder, compression="zstd")

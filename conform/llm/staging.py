@@ -11,11 +11,11 @@ from conform.sources.workspace import new_folder
 BLANKS = r"\x20\x09-\x0D"
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
+def staged(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """The rows of ``df``, written once as Parquet below the shared folder."""
     spark = df.sparkSession
     folder = new_folder(spark, purpose)
-    df.write.parquet(folder)
+    df.write.parquet(folder, compression=compression)
     return spark.read.schema(df.schema).parquet(folder)
 
 

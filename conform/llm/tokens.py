@@ -32,6 +32,14 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def bytes_per_id(path: str, *others: int | None) -> int:
+    """2 if all ids of the vocabulary and the other ids fit, else 4."""
+    from tokenizers import Tokenizer
+
+    largest = max([Tokenizer.from_file(path).get_vocab_size() - 1, *(other or 0 for other in others)])
+    return 2 if largest < 1 << 16 else 4
+
+
 class WordEncoder:
     """Ids of texts under a tokenizer that drops white space and never joins what white space separates.
 
@@ -110,17 +118,17 @@ def word_encoder(path: str) -> WordEncoder:
 
 
 def token_pieces(
-    df: DataFrame, id_column: str, text_column: str, path: str, capacity: int, end_id: int | None, with_ids: bool
+    df: DataFrame, id_column: str, text_column: str, path: str, capacity: int, end_id: int | None, id_bytes: int = 0
 ) -> DataFrame:
     """Every document's ids, then ``end_id``, cut into pieces of ``capacity``; one row per piece.
 
-    id, piece, start, length, ids_crc32, and ids (little-endian 32-bit) if asked for; ``part`` and ``place`` number
+    id, piece, start, length, ids_crc32 (of 32-bit ids), and ids in little-endian ``id_bytes`` (2 or 4) if asked for; ``part`` and ``place`` number
     the pieces of one length within a task. Only longer documents are cut and nothing is lost; null text is empty, and
     a document without ids gives one piece of length 0 (with an end id there is none).
     """
     check_columns(df, id_column, text_column)
     kind = df.schema[id_column].dataType.simpleString()
-    schema = f"id {kind}, piece int, start long, length int, ids_crc32 long, part int, place long" + ", ids binary" * with_ids
+    schema = f"id {kind}, piece int, start long, length int, ids_crc32 long, part int, place long" + ", ids binary" * bool(id_bytes)
     tail = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
     width = 4 * capacity
 
@@ -135,7 +143,9 @@ def token_pieces(
                     length = len(ids) // 4
                     seen[length] = place = seen.get(length, -1) + 1
                     row = identifier, piece, at // 4, length, zlib.crc32(ids), part, place
-                    rows.append((*row, ids) if with_ids else row)
+                    if id_bytes == 2:
+                        ids = np.frombuffer(ids, dtype="<u4").astype("<u2").tobytes()
+                    rows.append((*row, ids) if id_bytes else row)
             yield _frame(rows, schema, batch["id"].dtype)
 
     source = df.select(F.col(id_column).alias("id"), text_or_empty(text_column).alias("text"))

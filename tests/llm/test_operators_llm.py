@@ -130,7 +130,7 @@ def test_packing_and_matrices(spark, tmp_path):
     matrices.write_matrices(df, str(tmp_path / "m"), capacity=512)
     back = {}
     for row in spark.read.parquet(str(tmp_path / "m")).collect():
-        ids = np.frombuffer(row.input_ids, "<u4")
+        ids = np.frombuffer(row.input_ids, "<u2")
         assert len(ids) == 512 and not ids[row.n_tokens :].any()
         cuts = row.cumulative_lengths
         assert row.position_resets == cuts if row.n_tokens < 512 else cuts[:-1]
