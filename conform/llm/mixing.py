@@ -86,39 +86,37 @@ def mixed(
     plan = plan.withColumn("budget", F.col("target") - F.col("rounds") * F.col("source_size"))
     plan = staged(plan.withColumn("source", F.struct("source")), "targets")
     sized = sized.withColumn("source", F.struct("source"))
-    parts, open_rows, edge = [], sized, plan.select("source", "budget")
+    known_of = F.struct("rounds", "source_size", "target").alias("plan")
+    parts, open_rows, edge = [], sized, plan.select("source", "budget", known_of)
     for level in range(_LEVELS):
         bucket = F.substring("hash", 1, _DIGITS * (level + 1))
         last = level == _LEVELS - 1
         open_rows = open_rows.withColumn("bucket", bucket)
         decided = staged(_decided(open_rows, edge, last), "buckets")
         known = open_rows.join(decided, ["source", "bucket"])
-        parts.append(known.where("extra is not null").select("id", "source", "size", "extra"))
+        parts.append(known.where("extra is not null").select("id", "source", "size", "extra", "plan"))
         if last:
             break
-        edge = decided.where("extra is null").select("source", "budget")
+        edge = decided.where("extra is null").select("source", "budget", "plan")
         open_rows = staged(known.where("extra is null").select("id", "source", "size", "hash"), "boundary")
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
-    # A source's plan is repeated for a few slices of its documents, so that no source is one task's work.
-    slices = 32
-    spread = plan.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    rows = rows.withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int"))
-    copies = F.col("rounds") + F.col("extra")
-    return rows.join(spread, ["source", "slice"]).select(
+    copies = F.col("plan.rounds") + F.col("extra")
+    return rows.select(
         F.col("id").alias(id_column),
         F.col("source.source").alias("source"),
         "size",
-        "source_size",
-        "target",
+        "plan.source_size",
+        "plan.target",
         copies.alias("copies"),
         (F.col("size") * copies).alias("taken"),
     )
 
 
 def _decided(rows: DataFrame, edge: DataFrame, last: bool) -> DataFrame:
-    """For each source and bucket ``extra``, 1 below the threshold and 0 above; null, with the budget left, at it."""
+    """For each source and bucket ``extra``, 1 below the threshold and 0 above; null, with the budget left, at it.
+    The source's plan goes along, so that no row has to meet it again."""
     sums = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     before = F.coalesce(
         F.sum("words").over(
@@ -132,7 +130,7 @@ def _decided(rows: DataFrame, edge: DataFrame, last: bool) -> DataFrame:
     else:
         extra = F.when(F.col("words") <= left, 1).when(left <= 0, 0)
     summed = sums.join(edge, "source").withColumn("before", before)
-    return summed.select("source", "bucket", extra.cast("int").alias("extra"), left.alias("budget"))
+    return summed.select("source", "bucket", extra.cast("int").alias("extra"), left.alias("budget"), "plan")
 
 
 def mixed_rows(
