@@ -115,16 +115,14 @@ def learn(
 
     The sample has, of each language, the ``rows_per_language`` rows of smallest hash outside the held-out fold, with
     their whole texts. Spark picks them by ids and labels alone and counts their contexts; what reaches the driver is
-    bounded by the sample. There are as many languages as there are labels.
+    bounded by the sample. There are as many languages as there are labels, so their row counts are a small table: from
+    a language's count follows which hashes can be among the smallest, and only those rows are ranked.
     """
     check_columns(df, id_column, text_column, language_column)
     labelled = df.where(F.col(language_column).isNotNull() & ~held_out(id_column))
     place = F.xxhash64(F.col(id_column), F.lit("sample"))
     ids = labelled.select(F.col(language_column).alias("lang"), place.alias("place"))
-    # Each task keeps that many rows of a language before the shuffle: the group limit of the window.
-    by_place = Window.partitionBy("lang").orderBy("place")
-    chosen = ids.withColumn("n", F.row_number().over(by_place)).where(F.col("n") <= rows_per_language)
-    last = chosen.groupBy("lang").agg(F.max("place").alias("last")).collect()
+    last = _last_places(ids, rows_per_language)
     if not last:
         return None
     bounds = df.sparkSession.createDataFrame(last, "lang string, last long")
@@ -148,6 +146,31 @@ def learn(
     return _frozen(counts, order) if len(counts) else None
 
 
+def _last_places(ids: DataFrame, rows: int) -> list:
+    """For each language the hash of its ``rows``-th row by hash, or of its last one.
+
+    Hashes are spread evenly, so the part of them that holds four times as many rows is ranked. Where ids repeat so
+    often that it holds fewer than asked for, that language is ranked again with a part four times as large.
+    """
+    counts = ids.groupBy("lang").agg(F.count("*").alias("all")).collect()
+    by_place = Window.partitionBy("lang").orderBy("place")
+    parts = {row["lang"]: 4.0 * rows / row["all"] for row in counts}
+    totals = {row["lang"]: row["all"] for row in counts}
+    found = []
+    while parts:
+        limits = [(lang, int(min(part, 1.0) * (2**64 - 1)) - 2**63) for lang, part in parts.items()]
+        limits = [(lang, min(limit, 2**63 - 1)) for lang, limit in limits]
+        table = F.broadcast(ids.sparkSession.createDataFrame(limits, "lang string, limit long"))
+        near = ids.join(table, "lang").where("place <= limit").drop("limit")
+        chosen = near.withColumn("n", F.row_number().over(by_place)).where(F.col("n") <= rows)
+        ranked = chosen.groupBy("lang").agg(F.max("place").alias("last"), F.count("*").alias("n")).collect()
+        whole = [row for row in ranked if row["n"] >= min(rows, totals[row["lang"]])]
+        found += [(row["lang"], row["last"]) for row in whole]
+        done = {row["lang"] for row in whole}
+        parts = {lang: part * 4 for lang, part in parts.items() if lang not in done}
+    return found
+
+
 def _bytes(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-8", "replace"), dtype=np.uint8)
 
