@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from conform.llm.staging import BLANKS, check_columns, staged, text_or_empty
 
+#: Rows of one group that one task joins, about.
+_SLICE = 1_000_000
+
 
 def normalised(text: str | Column) -> Column:
     """The text without white space; null is empty."""
@@ -29,7 +32,9 @@ def exact_duplicates(
     and, where the dictionary of all distinct chunks shows that chunks of different text share a hash, the chunk's
     place among them; so equal identifiers mean equal chunks, and equal recipes equal texts. The dictionary is the
     only place to which text moves, each distinct chunk once per task; groups are found on the recipes. Copies,
-    however many, are combined before the shuffle, and the join back to the documents moves only recipes.
+    however many, are combined before the shuffle, and the join back to the documents moves only recipes. There a
+    group is cut into slices of its documents, and its row is repeated for those slices that it has, so that a group
+    may hold any part of all rows.
 
     Null text counts as empty and all empty texts are one group. Of a group, the longest original text stays, then
     the smallest id (null ids come last); of rows that agree in all of that, one is marked as kept. Other columns are
@@ -49,13 +54,18 @@ def exact_duplicates(
     else:
         documents = _numbered(chunked, shared)
     documents = staged(documents, "recipes")
-    groups = documents.groupBy("recipe").agg(
-        F.min(F.struct((-F.col("points")).alias("less"), F.col("id").isNull().alias("none"), "id")).alias("best"),
-        F.sum("copies").alias("group_size"),
+    # A slice of a group has about _SLICE rows at most; the count comes from the footers of the files.
+    slices = F.lit(max(32, documents.count() // _SLICE))
+    documents = documents.withColumn("slice", F.pmod(F.xxhash64("id", "sha"), slices).cast("int"))
+    described = F.struct((-F.col("points")).alias("less"), F.col("id").isNull().alias("none"), "id")
+    parts = documents.groupBy("recipe", "slice").agg(F.min(described).alias("best"), F.sum("copies").alias("rows"))
+    groups = parts.groupBy("recipe").agg(
+        F.min("best").alias("best"), F.sum("rows").alias("group_size"), F.collect_list("slice").alias("slices")
     )
+    groups = groups.withColumn("slice", F.explode("slices")).drop("slices")
     best = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("points") == -F.col("best.less"))
     return (
-        documents.join(groups, "recipe")
+        documents.join(groups, ["recipe", "slice"])
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
         .select(
             F.col("id").alias(id_column),
