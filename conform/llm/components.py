@@ -13,8 +13,8 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
 
     Large-star and small-star alternate: every node hands its larger, then its smaller neighbours to the smallest node
     it knows, until nothing moves. Rounds grow with the logarithm of the longest chain. A star's centre may have any
-    number of leaves: the minimum is aggregated in parts before the shuffle and joined back, where adaptive execution
-    splits a skewed centre. Each round is staged, so a lost executor repeats one round at most. Edges to null and
+    number of leaves: the minimum is aggregated in parts before the shuffle, written, and joined back as a table, since
+    adaptive execution splits a skewed centre only where both sides of a join come straight from a shuffle. Each round is staged, so a lost executor repeats one round at most. Edges to null and
     loops are ignored; an empty input gives an empty result.
     """
     links = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(
@@ -23,7 +23,7 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     links = staged(links.distinct(), "links")
     state = None
     while True:
-        links = staged(_small_star(_large_star(links)), "links")
+        links = staged(_small_star(staged(_large_star(links), "links")), "links")
         totals = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % (1 << 24)), F.bit_xor(F.xxhash64("u", "v"))).head()
         if totals == state or totals[0] == 0:
             break
@@ -36,7 +36,7 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
 def _large_star(links: DataFrame) -> DataFrame:
     """Links (u > v): every neighbour of u above u goes to the smallest of u and its neighbours."""
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m"))
+    least = staged(both.groupBy("u").agg(F.min("v").alias("m")), "least")
     return (
         links.select(F.col("v").alias("u"), F.col("u").alias("w"))
         .join(least, "u")
@@ -47,6 +47,6 @@ def _large_star(links: DataFrame) -> DataFrame:
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Links (u > v): u and its neighbours below u go to the smallest of them."""
-    least = links.groupBy("u").agg(F.min("v").alias("m"))
+    least = staged(links.groupBy("u").agg(F.min("v").alias("m")), "least")
     moved = links.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()

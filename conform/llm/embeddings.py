@@ -69,7 +69,8 @@ def near_duplicate_vectors(
         .withColumn("component", F.coalesce("component", "node"))
     )
     joined = staged(joined, "classes")
-    names = joined.groupBy("component").agg(F.min("least").alias("component_id"))
+    # Written, so that a component of very many members is a skewed join that adaptive execution can split.
+    names = staged(joined.groupBy("component").agg(F.min("least").alias("component_id")), "names")
     answers = joined.join(names, "component").select(
         "vector", "component_id", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")
     )

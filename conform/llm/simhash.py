@@ -98,7 +98,8 @@ def simhash_groups(
     members = nodes.join(reached, nodes["print"] == reached["node"], "left").select(
         "print", "least", F.coalesce("component", "print").alias("component")
     )
-    names = members.groupBy("component").agg(F.min("least").alias("component_id"))
+    # Written, so that a component of very many members is a skewed join that adaptive execution can split.
+    names = staged(members.groupBy("component").agg(F.min("least").alias("component_id")), "names")
     named = members.join(names, "component").select("print", "component_id")
     return prints.join(named, "print").select(
         F.col("id").alias(id_column),
