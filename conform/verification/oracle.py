@@ -94,6 +94,29 @@ STEPS = {
                                           WHEN 'T' THEN 'Touring' ELSE 'n/a' END AS product_line,
                CAST(prd_start_dt AS DATE) AS start_date, end_date
         FROM product_versions""",
+    # Which value stands, for each sign of the amount (none if it is missing) and whether it fits quantity times price.
+    "amount_cases": """
+        SELECT * FROM (VALUES (1, true, 'amount'), (1, NULL, 'amount'), (1, false, 'product'),
+                              (0, true, 'product'), (0, NULL, 'product'), (0, false, 'product'),
+                              (-1, true, 'product'), (-1, NULL, 'product'), (-1, false, 'product'),
+                              (NULL, NULL, 'product')) AS cases(amount_sign, fits, stands)""",
+    # The same for each sign of the price and whether the quantity is zero.
+    "price_cases": """
+        SELECT * FROM (VALUES (1, true, 'price'), (1, NULL, 'price'), (1, false, 'price'),
+                              (0, true, 'nothing'), (0, NULL, 'nothing'), (0, false, 'quotient'),
+                              (-1, true, 'nothing'), (-1, NULL, 'nothing'), (-1, false, 'quotient'),
+                              (NULL, true, 'nothing'), (NULL, NULL, 'nothing'), (NULL, false, 'quotient'))
+                      AS cases(price_sign, no_quantity, price_stands)""",
+    "repaired_sales": """
+        SELECT s.*,
+               CASE stands WHEN 'amount' THEN sls_sales WHEN 'product' THEN product END AS sales_amount,
+               CASE price_stands WHEN 'price' THEN CAST(sls_price AS DOUBLE)
+                                 WHEN 'quotient' THEN sls_sales / sls_quantity END AS price
+        FROM (SELECT *, sls_quantity * abs(sls_price) AS product FROM crm_sales_details) s
+        JOIN amount_cases ON sign(sls_sales) IS NOT DISTINCT FROM amount_sign
+                          AND (sls_sales = product) IS NOT DISTINCT FROM fits
+        JOIN price_cases ON sign(sls_price) IS NOT DISTINCT FROM price_sign
+                         AND (sls_quantity = 0) IS NOT DISTINCT FROM no_quantity""",
     "silver_sales": """
         SELECT sls_ord_num AS order_number, sls_prd_key AS product_number, sls_cust_id AS customer_id,
                CASE WHEN sls_order_dt <> 0 AND length(CAST(sls_order_dt AS VARCHAR)) = 8
@@ -102,12 +125,8 @@ STEPS = {
                     THEN CAST(try_strptime(CAST(sls_ship_dt AS VARCHAR), '%Y%m%d') AS DATE) END AS ship_date,
                CASE WHEN sls_due_dt <> 0 AND length(CAST(sls_due_dt AS VARCHAR)) = 8
                     THEN CAST(try_strptime(CAST(sls_due_dt AS VARCHAR), '%Y%m%d') AS DATE) END AS due_date,
-               CASE WHEN sls_sales IS NULL OR sls_sales <= 0 OR sls_sales <> sls_quantity * abs(sls_price)
-                    THEN sls_quantity * abs(sls_price) ELSE sls_sales END AS sales_amount,
-               sls_quantity AS quantity,
-               CASE WHEN sls_price IS NULL OR sls_price <= 0 THEN sls_sales / nullif(sls_quantity, 0)
-                    ELSE sls_price END AS price
-        FROM crm_sales_details""",
+               sales_amount, sls_quantity AS quantity, price
+        FROM repaired_sales""",
     "silver_demographics": """
         SELECT CASE WHEN cid LIKE 'NAS%' THEN substring(cid, 4) ELSE cid END AS customer_number,
                CASE WHEN bdate > current_date THEN NULL ELSE bdate END AS birth_date,
@@ -127,7 +146,7 @@ STEPS = {
     "dim_customers": """
         SELECT CAST(row_number() OVER (ORDER BY customer_id NULLS FIRST) AS INT) AS customer_key,
                customer_id, c.customer_number, first_name, last_name, country, marital_status,
-               CASE WHEN c.gender <> 'n/a' THEN c.gender ELSE coalesce(d.gender, 'n/a') END AS gender,
+               coalesce(nullif(c.gender, 'n/a'), d.gender, 'n/a') AS gender,
                birth_date AS birthdate, created_date AS create_date
         FROM silver_customers c
         LEFT JOIN silver_demographics d ON c.customer_number = d.customer_number
@@ -210,15 +229,9 @@ _FROM_STEPS = {
                     THEN CAST(try_strptime(CAST(sls_due_dt AS VARCHAR), '%Y%m%d') AS DATE) END AS due_date
         FROM crm_sales_details""",
     "q15_repaired_amount": """
-        SELECT sls_ord_num, sls_sales, sls_quantity, sls_price,
-               CASE WHEN sls_sales IS NULL OR sls_sales <= 0 OR sls_sales <> sls_quantity * abs(sls_price)
-                    THEN sls_quantity * abs(sls_price) ELSE sls_sales END AS sales_amount
-        FROM crm_sales_details""",
+        SELECT sls_ord_num, sls_sales, sls_quantity, sls_price, sales_amount FROM repaired_sales""",
     "q16_repaired_price": """
-        SELECT sls_ord_num, sls_sales, sls_quantity, sls_price,
-               CASE WHEN sls_price IS NULL OR sls_price <= 0 THEN sls_sales / nullif(sls_quantity, 0)
-                    ELSE sls_price END AS price
-        FROM crm_sales_details""",
+        SELECT sls_ord_num, sls_sales, sls_quantity, sls_price, price FROM repaired_sales""",
     "q17_silver_sales": "SELECT * FROM silver_sales",
     "q18_strip_prefix": """
         SELECT cid, CASE WHEN cid LIKE 'NAS%' THEN substring(cid, 4) ELSE cid END AS customer_number
@@ -246,9 +259,7 @@ _FROM_STEPS = {
         SELECT CAST(row_number() OVER (ORDER BY customer_id NULLS FIRST) AS INT) AS customer_key, customer_id
         FROM silver_customers""",
     "q27_gender_precedence": """
-        SELECT customer_id,
-               CASE WHEN c.gender <> 'n/a' THEN c.gender ELSE coalesce(d.gender, 'n/a') END AS gender
-        FROM silver_customers c LEFT JOIN silver_demographics d ON c.customer_number = d.customer_number""",
+        SELECT customer_id, gender FROM dim_customers""",
     "q28_dim_customers": "SELECT * FROM dim_customers",
     "q29_current_products": "SELECT * FROM silver_products WHERE end_date IS NULL",
     "q30_product_keys": """
@@ -315,6 +326,20 @@ _FROM_TABLES = {
         SELECT CAST(row_number() OVER (ORDER BY CAST(o_orderdate AS DATE) NULLS FIRST, o_orderkey) AS INT) AS order_seq,
                CAST(o_orderdate AS DATE) AS o_orderdate, o_orderkey
         FROM orders""",
+    "q41_validity_of_hot_keys": """
+        SELECT l_orderkey, l_linenumber, l_returnflag, CAST(l_shipdate AS DATE) AS l_shipdate,
+               lead(CAST(l_shipdate AS DATE)) OVER (PARTITION BY l_returnflag
+                   ORDER BY CAST(l_shipdate AS DATE) NULLS FIRST, l_orderkey, l_linenumber) - 1 AS valid_to
+        FROM lineitem""",
+    "q42_lookups_of_hot_keys": """
+        SELECT l_orderkey, l_linenumber, l_suppkey, s_name, n_name
+        FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey""",
+    "q43_hot_keys_in_a_lookup": """
+        SELECT s_suppkey, s_name, l_orderkey, l_linenumber FROM supplier LEFT JOIN lineitem ON s_suppkey = l_suppkey""",
+    "q44_gapless_key_of_copies": """
+        SELECT row_number() OVER (ORDER BY l_returnflag NULLS FIRST, l_linestatus NULLS FIRST) AS line_seq,
+               l_returnflag, l_linestatus
+        FROM lineitem""",
 }
 
 ORACLE_SQL = {

@@ -269,6 +269,41 @@ def gapless_order_key(spark: SparkSession, folder: str) -> DataFrame:
     return gapless_key(orders, ["o_orderdate", "o_orderkey"], "order_seq")
 
 
+# The paths for large tables. Limits this low send the given tables along them at every size.
+
+
+def validity_of_hot_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Three keys that hold all lines, sorted across tasks."""
+    shipped = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag", F.col("l_shipdate").cast("date").alias("l_shipdate")
+    )
+    ties = ["l_orderkey", "l_linenumber"]
+    return close_validity(shipped, "l_returnflag", "l_shipdate", "valid_to", tie_break=ties, hot_rows=5_000)
+
+
+def lookups_of_hot_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """About 600 lines of a supplier, in pieces of 200, against two lookups by shuffle."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    suppliers = table(spark, folder, "supplier").withColumnRenamed("s_suppkey", "l_suppkey")
+    nations = table(spark, folder, "nation").withColumnRenamed("n_nationkey", "s_nationkey")
+    names = suppliers.select("l_suppkey", "s_name")
+    homes = suppliers.join(nations, "s_nationkey", "left").select("l_suppkey", "n_name")
+    return left_lookup(lines, "l_suppkey", names, homes, broadcast_bytes=0, hot_rows=200)
+
+
+def hot_keys_in_a_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """The other way round: the keys are hot in the lookup, and each supplier meets all of its lines."""
+    suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_name")
+    lines = table(spark, folder, "lineitem").select(F.col("l_suppkey").alias("s_suppkey"), "l_orderkey", "l_linenumber")
+    return left_lookup(suppliers, "s_suppkey", lines, broadcast_bytes=0, hot_rows=200)
+
+
+def gapless_key_of_copies(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of which only a few values are left, so that most rows are copies."""
+    lines = table(spark, folder, "lineitem").select("l_returnflag", "l_linestatus")
+    return gapless_key(lines, ["l_returnflag", "l_linestatus"], "line_seq", key_type="bigint")
+
+
 # --- checks -----------------------------------------------------------------------------------------------
 
 
@@ -339,4 +374,8 @@ QUERIES: dict[str, Query] = {
     "q38_gapless_order_key": gapless_order_key,
     "q39_star_schema_checks": star_schema_checks,
     "q40_layered_fact": layered_fact,
+    "q41_validity_of_hot_keys": validity_of_hot_keys,
+    "q42_lookups_of_hot_keys": lookups_of_hot_keys,
+    "q43_hot_keys_in_a_lookup": hot_keys_in_a_lookup,
+    "q44_gapless_key_of_copies": gapless_key_of_copies,
 }
