@@ -269,7 +269,7 @@ def gapless_order_key(spark: SparkSession, folder: str) -> DataFrame:
     return gapless_key(orders, ["o_orderdate", "o_orderkey"], "order_seq")
 
 
-# The paths for large tables. Limits this low send the given tables along them at every size.
+# The paths for large tables. Limits as low as these split the hot keys of the given tables as well.
 
 
 def validity_of_hot_keys(spark: SparkSession, folder: str) -> DataFrame:
