@@ -89,4 +89,28 @@ ORACLE_SQL = {
             || ';date=' || moment || ';etag=' || etag AS headers
         FROM earlier WHERE whole = 0
     """,
+    "op12_hard_negatives": r"""
+        WITH vectors AS (
+            SELECT row_number() OVER () AS place, vec_id,
+                CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+        scores AS (
+            SELECT a.place AS anchor, a.vec_id AS anchor_id, b.place, b.vec_id, a.label = b.label AS same,
+                CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+            FROM vectors a JOIN vectors b ON a.place <> b.place AND len(a.x) = len(b.x)
+            WHERE a.vec_id % 100 = 0),
+        positives AS (
+            SELECT * FROM scores WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST, place) <= 5)
+        SELECT p.anchor_id, p.vec_id AS positive_id,
+            CAST(row_number() OVER (PARTITION BY p.anchor, p.place ORDER BY n.score DESC, n.vec_id NULLS LAST) AS INT)
+                AS rank,
+            n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+        FROM positives p JOIN scores n
+            ON p.anchor = n.anchor AND NOT n.same AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+        QUALIFY rank <= 5
+    """,
 }

@@ -5,7 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conform.llm import embeddings, exact, html, language, matrices, mixing, revisits, simhash, tokens
+from conform.llm import (
+    embeddings,
+    exact,
+    html,
+    language,
+    matrices,
+    mixing,
+    negatives,
+    pieces,
+    revisits,
+    simhash,
+    tokens,
+    whitening,
+)
 from conform.sources.workspace import new_folder
 
 
@@ -69,6 +82,29 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened_vectors(_table(spark, folder, "embeddings"))
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Every hundredth row is an anchor; some labels are moved on, as the contract says."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, folder, "embeddings").withColumn("label", moved)
+    return negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op13_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Checksums stand for the ids and the text they give."""
+    found = pieces.encoded_documents(_table(spark, folder, "documents"))
+    decimal = F.array_join(F.transform("ids", lambda each: each.cast("string")), ",")
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(decimal, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_token_matrices": op2_token_matrices,
@@ -80,4 +116,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_token_counts": op9_token_counts,
     "op10_language": op10_language,
+    "op11_whitening": op11_whitening,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_sentence_pieces": op13_sentence_pieces,
 }
