@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -16,11 +16,11 @@ from conform.llm.staging import check_columns, text_or_empty
 #: Code points taken apart at once, ids decoded at once, and prefixes kept before their tokens are recovered.
 _BLOCK, _IDS, _PREFIXES = 1 << 20, 1 << 18, 1 << 14
 #: Words that one Python worker remembers, the longest of them, and pairs of tokens whose test it remembers.
-_MEMO, _LONGEST, _PAIRS = 400_000, 48, 1_000_000
+_MEMO, _LONGEST, _PAIRS = 400_000, 48, 250_000
+#: Rows whose results leave a worker together.
+_ROWS = 512
 
-_SPACE = "▁"
-_WORD = re.compile(f"{_SPACE}+[^{_SPACE}]*|[^{_SPACE}]+")
-_WORD_START = re.compile(f"(?<=[^{_SPACE}]){_SPACE}")
+_SPACE, _LETTER = "▁", r"[^\W\d_]"
 
 
 def default_model() -> str:
@@ -66,14 +66,34 @@ class PieceEncoder:
         automaton = ahocorasick.Automaton()
         for piece in sorted(self.scores, key=lambda text: (-self.scores[text], len(text))):
             if len(piece) > 1 and self._grow(piece):
-                automaton.add_word(piece, piece)
+                automaton.add_word(piece, (piece, len(piece)))
         automaton.make_automaton()
         self.automaton = automaton
         self.longest = max(map(len, self.right), default=1)
-        self.words_stand_alone = not any(_WORD_START.search(piece) for piece in self.scores)
+        self.word, self.word_start = self._words(), re.compile(f"(?<=[^{_SPACE}]){_SPACE}")
         self.pairs: dict[tuple[str, str], bool] = {}
         self.memo: dict[str, bytes] = {}
 
+    def _words(self) -> re.Pattern | None:
+        """A pattern that cuts a normalised text where no piece reaches across; None if there may be no such place.
+
+        Places are looked for in front of spaces, around characters that no piece joins with others, and between a
+        letter and a mark behind it.
+        """
+        inside = {piece[at : at + 2] for piece in self.scores for at in range(len(piece) - 1)}
+        if any(pair[0] != _SPACE and pair[1] == _SPACE for pair in inside):
+            return None
+        latin = [chr(code) for code in range(256)]
+        joined = {character for pair in inside for character in pair}
+        alone = "".join(re.escape(c) for c in latin if c not in joined)
+        behind = {pair[1] for pair in inside if re.match(_LETTER, pair)}
+        marks = "".join(re.escape(c) for c in latin if c in joined and c not in behind and not re.match(_LETTER, c))
+        plain = f"[^{_SPACE}{alone}{marks}]*"
+        word = f"(?:{_SPACE}+|[^{_SPACE}{alone}]){plain}"
+        if marks:
+            word += f"(?:(?<!{_LETTER})[{marks}]{plain})*"
+        return re.compile(f"[{alone}]|{word}" if alone else word)
+
     def check(self) -> None:
         """Compare with the library on every piece; a vocabulary that is not of merge type differs."""
         texts = [piece.replace(_SPACE, " ") for piece in self.scores]
@@ -84,13 +104,23 @@ class PieceEncoder:
     def ids(self, text: str) -> np.ndarray:
         normal, parts, start = self.library.normalize(text), [], 0
         while start < len(normal):
-            cut = _WORD_START.search(normal, start + _BLOCK) if self.words_stand_alone else None
+            cut = self.word_start.search(normal, start + _BLOCK) if self.word else None
             end = cut.start() if cut else len(normal)
-            words = _WORD.findall(normal[start:end]) if self.words_stand_alone else [normal]
-            parts.append(b"".join(map(self._word, words)))
+            parts.append(self._block(normal[start:end]))
             start = end
         return np.frombuffer(b"".join(parts), dtype="<i4")
 
+    def _block(self, normal: str) -> bytes:
+        memo = self.memo
+        words = self.word.findall(normal) if self.word else [normal]
+        new = [word for word in set(words) if word not in memo]
+        if not new:
+            return b"".join(map(memo.__getitem__, words))
+        found = {word: self._spelled(self.tokens(word)) for word in new}
+        if len(memo) < _MEMO:
+            memo.update(found if len(max(new, key=len)) <= _LONGEST else {w: found[w] for w in new if len(w) <= _LONGEST})
+        return b"".join([found[word] if word in found else memo[word] for word in words])
+
     def text(self, ids: np.ndarray) -> str:
         """The library's text of the ids, decoded in parts that do not cut a character spelled in bytes."""
         parts, start = [], 0
@@ -105,56 +135,47 @@ class PieceEncoder:
             start = end
         return "".join(parts)
 
-    def _word(self, word: str) -> bytes:
-        found = self.memo.get(word)
-        if found is None:
-            found = b"".join([self._spelled(token) for token in self.tokens(word)])
-            if len(word) <= _LONGEST and len(self.memo) < _MEMO:
-                self.memo[word] = found
-        return found
-
-    def _spelled(self, token: str) -> bytes:
-        known = self.ids_of.get(token)
-        if known is None:
-            known = np.array([self.bytes[byte] for byte in token.encode()], dtype="<u4").tobytes()
-        return known
+    def _spelled(self, tokens: list[str]) -> bytes:
+        ids_of = self.ids_of
+        for token in tokens:
+            if token not in ids_of:  # a character without a piece, of which there are no more than Unicode has
+                ids_of[token] = np.array([self.bytes[byte] for byte in token.encode()], dtype="<u4").tobytes()
+        return b"".join(map(ids_of.__getitem__, tokens))
 
-    def tokens(self, text: str) -> Iterable[str]:
-        """The tokens of a normalised text.
+    def tokens(self, text: str) -> list[str]:
+        """The tokens of a normalised text, recovered backwards from the table of its prefixes.
 
-        The table holds the last token of each prefix since ``base``, the place where all paths back from the last
-        prefixes meet; what lies before is recovered and forgotten, so that a text without spaces needs no table of its size.
+        The table is made for a window at a time. Where the paths back from all prefixes that a later token can follow
+        meet, the tokens before are certain: they are recovered, and the next window starts there. So a text
+        without spaces needs no table of its own length.
         """
-        found, last, head, limit, base = [], [], "", _PREFIXES, 0
-        matches = self.automaton.iter(text)
-        end, piece = next(matches, (-1, ""))
-        scores_of, compatible = self.pairs, self._compatible
-        for at, character in enumerate(text):
-            token = character
-            settled = False
-            while end == at:
-                if not settled:
-                    before = at - base - len(piece)
-                    if before < -1:
-                        known = False
-                    else:
-                        previous = last[before] if before >= 0 else head
-                        known = not previous or scores_of.get((previous, piece))
-                        if known is None:
-                            known = compatible(previous, piece)
-                    if known:
-                        token, settled = piece, True
-                end, piece = next(matches, (-1, ""))
-            last.append(token)
-            if len(last) >= limit:
-                cut = self._meeting(last)
-                if cut:
-                    found.extend(_recovered(last[:cut]))
-                    head, base = last[cut - 1], base + cut
-                    last = last[cut:]
-                limit = len(last) + _PREFIXES
-        found.extend(_recovered(last))
-        return found
+        if len(text) <= _PREFIXES:
+            return _recovered(self._table(text, ""))
+        found, start, head, width = [], 0, "", _PREFIXES
+        while start + width < len(text):
+            last = self._table(text[start : start + width], head)
+            cut = self._meeting(last)
+            if cut:
+                found += _recovered(last[:cut])
+                start, head, width = start + cut, last[cut - 1], _PREFIXES
+            else:
+                width *= 2
+        return found + _recovered(self._table(text[start:], head))
+
+    def _table(self, text: str, head: str) -> list[str]:
+        """The last token of every prefix of the text, which follows the token ``head``."""
+        last, settled, known = list(text), -1, self.pairs.get
+        for end, (piece, length) in self.automaton.iter(text):
+            if end == settled:
+                continue
+            previous = last[end - length] if end >= length else head
+            if previous:
+                fits = known((previous, piece))
+                if not (self._compatible(previous, piece) if fits is None else fits):
+                    continue
+            last[end] = piece
+            settled = end
+        return last
 
     def _meeting(self, last: list[str]) -> int:
         """The length of the longest prefix whose end lies on the paths back from all prefixes that a token can follow."""
@@ -167,8 +188,9 @@ class PieceEncoder:
 
     def _compatible(self, first: str, second: str) -> bool:
         known = self._apart(first, second)
-        if len(self.pairs) < _PAIRS:
-            self.pairs[first, second] = known
+        if len(self.pairs) >= _PAIRS:
+            self.pairs.clear()
+        self.pairs[first, second] = known
         return known
 
     def _apart(self, first: str, second: str, joined: float | None = None) -> bool:
@@ -212,9 +234,11 @@ class PieceEncoder:
 def _recovered(last: list[str]) -> list[str]:
     found, end = [], len(last)
     while end:
-        found.append(last[end - 1])
-        end -= len(found[-1])
-    return found[::-1]
+        token = last[end - 1]
+        found.append(token)
+        end -= len(token)
+    found.reverse()
+    return found
 
 
 @lru_cache(maxsize=2)
@@ -230,8 +254,9 @@ def encoded(text: str | Column, path: str) -> Column:
     def encode(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = piece_encoder(path)
         for batch in texts:
-            ids = [encoder.ids(each) for each in batch]
-            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": [encoder.text(each) for each in ids]})
+            for at in range(0, len(batch), _ROWS):
+                ids = [encoder.ids(each) for each in batch.iloc[at : at + _ROWS]]
+                yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": [encoder.text(each) for each in ids]})
 
     return encode(text_or_empty(text))
 
