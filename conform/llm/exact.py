@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from conform.llm.staging import BLANKS, check_columns, staged, text_or_empty
+from conform.llm.staging import BLANKS, check_columns, one_per, row_hash, staged, text_or_empty
 
 #: Rows of one group that one task joins, about.
 _SLICE = 1_000_000
@@ -79,15 +79,18 @@ def exact_duplicates(
 
 
 def without_exact_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``df`` that ``exact_duplicates`` keeps, with all their columns."""
+    """The rows of ``df`` that ``exact_duplicates`` keeps, with all their columns: one of each group of equal texts.
+
+    Where rows agree in id, length and text without white space, but not in everything, the one of smallest hash over
+    all columns stays, so that reruns agree.
+    """
     kept = exact_duplicates(df, id_column, text_column).where("kept").select(
         _key(F.col(id_column), F.col("n_points"), F.col("text_sha256")).alias("__row")
     )
     sha = F.sha2(normalised(text_column), 256)
     points = F.char_length(text_or_empty(text_column)).cast("long")
-    keyed = df.withColumn("__row", _key(F.col(id_column), points, sha))
-    # Rows of one key are copies of each other: the join has put them side by side already.
-    return keyed.join(kept, "__row", "left_semi").dropDuplicates(["__row"]).drop("__row")
+    keyed = df.withColumn("__hash", row_hash(df)).withColumn("__row", _key(F.col(id_column), points, sha))
+    return one_per(keyed, "__row", F.col("__hash")).join(kept, "__row", "left_semi").drop("__row", "__hash")
 
 
 def _described(id_column: str, text_column: str) -> list[Column]:
@@ -96,6 +99,7 @@ def _described(id_column: str, text_column: str) -> list[Column]:
 
 
 def _key(identifier: Column, points: Column, sha: Column) -> Column:
+    # concat_ws leaves nulls out: without an id there is no second colon.
     return F.concat_ws(":", sha, points.cast("string"), identifier.cast("string"))
 
 

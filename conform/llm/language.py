@@ -116,18 +116,13 @@ def learn(
     The sample has, of each language, the ``rows_per_language`` rows of smallest hash outside the held-out fold, with
     their whole texts. Spark picks them by ids and labels alone and counts their contexts; what reaches the driver is
     bounded by the sample. There are as many languages as there are labels, so their row counts are a small table: from
-    a language's count follows which hashes can be among the smallest, and only those rows are ranked.
+    a language's count follows which hashes can be among the smallest, and only those rows are ranked. Null ids and ids that
+    repeat share a hash; of their rows those with the smallest hash of the text come first, and never more than asked for.
+    Null texts count as empty, an empty table or one without labels has no trees.
     """
-    check_columns(df, id_column, text_column, language_column)
-    labelled = df.where(F.col(language_column).isNotNull() & ~held_out(id_column))
-    place = F.xxhash64(F.col(id_column), F.lit("sample"))
-    ids = labelled.select(F.col(language_column).alias("lang"), place.alias("place"))
-    last = _last_places(ids, rows_per_language)
-    if not last:
+    sample = sampled(df, id_column, text_column, language_column, rows_per_language)
+    if sample is None:
         return None
-    bounds = df.sparkSession.createDataFrame(last, "lang string, last long")
-    texts = labelled.select(F.col(language_column).alias("lang"), place.alias("place"), text_or_empty(text_column).alias("text"))
-    sample = texts.join(F.broadcast(bounds), "lang").where("place <= last").select("lang", "text")
 
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -146,6 +141,24 @@ def learn(
     return _frozen(counts, order) if len(counts) else None
 
 
+def sampled(df: DataFrame, id_column: str, text_column: str, language_column: str, rows: int) -> DataFrame | None:
+    """lang and text of the rows to learn from, at most ``rows`` of each label; None without labels."""
+    check_columns(df, id_column, text_column, language_column)
+    labelled = df.where(F.col(language_column).isNotNull() & ~held_out(id_column))
+    place = F.xxhash64(F.col(id_column), F.lit("sample"))
+    ids = labelled.select(F.col(language_column).alias("lang"), place.alias("place"))
+    last = _last_places(ids, rows)
+    if not last:
+        return None
+    bounds = df.sparkSession.createDataFrame(last, "lang string, last long")
+    texts = labelled.select(F.col(language_column).alias("lang"), place.alias("place"), text_or_empty(text_column).alias("text"))
+    sample = texts.join(F.broadcast(bounds), "lang").where("place <= last")
+    # Rows that share an id share its hash: they are told apart by their texts, and no more than asked for are taken.
+    first = Window.partitionBy("lang").orderBy("place", F.xxhash64("text"))
+    sample = sample.withColumn("number", F.row_number().over(first)).where(F.col("number") <= rows)
+    return sample.select("lang", "text")
+
+
 def _last_places(ids: DataFrame, rows: int) -> list:
     """For each language the hash of its ``rows``-th row by hash, or of its last one.
 

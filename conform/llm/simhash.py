@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from conform.llm.components import connected_components
 from conform.llm.forest import least_reachable
-from conform.llm.staging import BLANKS, check_columns, staged, text_or_empty
+from conform.llm.staging import BLANKS, check_columns, one_per, row_hash, staged, text_or_empty
 
 #: Shingles whose bits are summed at once, and code points taken apart at once.
 _SHINGLES, _BLOCK = 8_192, 1 << 20
@@ -83,29 +83,39 @@ def simhash_groups(
     """
     check_columns(df, id_column, text_column)
 
+    prints = _fingerprints(df, id_column, text_column, length)
+    named = _components(prints, F.col("id"), radius, tile).select("print", F.col("best").alias("component_id"))
+    return prints.join(named, "print").select(
+        F.col("id").alias(id_column),
+        F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
+
+
+def _fingerprints(df: DataFrame, id_column: str, text_column: str, length: int, *more: Column) -> DataFrame:
+    """id, print and more columns of every row, stored."""
+
     @F.pandas_udf("long")
     def hashed(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
             prints = np.array([fingerprint(text, length) for text in batch], dtype=np.uint64)
             yield pd.Series(prints.view(np.int64))
 
-    prints = staged(
-        df.select(F.col(id_column).alias("id"), hashed(text_or_empty(text_column)).alias("print")), "fingerprints"
-    )
-    nodes = staged(prints.groupBy("print").agg(F.min("id").alias("least")), "nodes")
+    found = df.select(F.col(id_column).alias("id"), hashed(text_or_empty(text_column)).alias("print"), *more)
+    return staged(found, "fingerprints")
+
+
+def _components(prints: DataFrame, candidate: Column, radius: int, tile: int) -> DataFrame:
+    """print, component and the component's best, the smallest candidate of its rows. Components are told apart by their smallest fingerprint."""
+    nodes = staged(prints.groupBy("print").agg(F.min(candidate).alias("least")), "nodes")
     links = staged(_tile_links(nodes, radius, tile), "tile-links")
     reached = connected_components(links, "a", "b")
     members = nodes.join(reached, nodes["print"] == reached["node"], "left").select(
         "print", "least", F.coalesce("component", "print").alias("component")
     )
     # Written, so that a component of very many members is a skewed join that adaptive execution can split.
-    names = staged(members.groupBy("component").agg(F.min("least").alias("component_id")), "names")
-    named = members.join(names, "component").select("print", "component_id")
-    return prints.join(named, "print").select(
-        F.col("id").alias(id_column),
-        F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
-        "component_id",
-    )
+    names = staged(members.groupBy("component").agg(F.min("least").alias("best")), "names")
+    return members.join(names, "component").select("print", "component", "best")
 
 
 def _tile_links(nodes: DataFrame, radius: int, tile: int) -> DataFrame:
@@ -169,17 +179,22 @@ def _pair_links(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> pd.Dat
     return pd.DataFrame({"a": nodes[moved].view(np.int64), "b": nodes[least[moved]].view(np.int64)})
 
 
-def one_of_each_group(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
-    """The rows of ``df`` whose id names their component: one document of each group, the one of smallest id.
+def one_of_each_group(
+    df: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    length: int = 3,
+    radius: int = 3,
+    tile: int = 4_096,
+) -> DataFrame:
+    """The rows of ``df`` that stay, with all their columns: one of each component that ``simhash_groups`` finds.
 
-    Of rows that repeat that id, one stays.
+    Of a component, the smallest id stays, null ids last; of rows that agree in it, the one of smallest hash over
+    all columns. A component is told apart by its smallest fingerprint, not by an id, so rows with null or repeated ids and
+    different texts stay beside each other. Rows equal in every column are one. An empty table gives an empty one.
     """
-    groups = simhash_groups(df, id_column, text_column, **options)
-    kept = groups.where(F.col(id_column).eqNullSafe(F.col("component_id")))
-    kept = kept.select(_row_key(id_column).alias("__row")).distinct()
-    keyed = df.withColumn("__row", _row_key(id_column))
-    return keyed.join(kept, "__row", "left_semi").dropDuplicates(["__row"]).drop("__row")
-
-
-def _row_key(id_column: str) -> Column:
-    return F.coalesce(F.col(id_column).cast("string"), F.lit("null"))
+    check_columns(df, id_column, text_column)
+    prints = _fingerprints(df, id_column, text_column, length, row_hash(df).alias("hash"))
+    candidate = F.struct(F.col("id").isNull().alias("none"), "id", "hash")
+    kept = _components(prints, candidate, radius, tile).select(F.col("best.hash").alias("__row")).distinct()
+    return one_per(df.withColumn("__row", row_hash(df)), "__row").join(kept, "__row", "left_semi").drop("__row")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from conform.sources.workspace import new_folder
@@ -27,3 +27,20 @@ def check_columns(df: DataFrame, *needed: str) -> None:
     missing = [name for name in needed if name not in df.columns]
     if missing:
         raise ValueError(f"missing columns {missing}; there are {df.columns}")
+
+
+def row_hash(df: DataFrame) -> Column:
+    """128 bits of hash over all columns, nulls included, as text: the same for rows that are equal in all of them."""
+    parts = []
+    for at, field in enumerate(df.schema.fields):
+        simple = field.dataType.simpleString()
+        column = F.col(f"`{field.name}`")
+        # What cannot be hashed as it is, is hashed as text.
+        parts += [F.lit(at), F.to_json(F.struct(column)) if "map<" in simple or "variant" in simple else column]
+    return F.concat(F.hex(F.xxhash64(*parts)), F.lit("-"), F.hex(F.xxhash64(F.lit("second"), *parts)))
+
+
+def one_per(df: DataFrame, key: str, *order: Column) -> DataFrame:
+    """The first row of each key, which is cut down to one row per task before the shuffle, so that copies of one row in any number do no harm."""
+    first = Window.partitionBy(key).orderBy(*order or (F.col(key),))
+    return df.withColumn("__place", F.row_number().over(first)).where("__place = 1").drop("__place")

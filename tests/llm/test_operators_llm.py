@@ -194,6 +194,49 @@ def test_simhash(spark):
     assert simhash.simhash_groups(empty(df)).collect() == []
 
 
+A, B, C, D = ("first one text here", "second other words there", "third of them says this", "and a fourth goes here")
+
+
+@pytest.mark.parametrize(
+    "kind, rows",
+    [
+        ("long", [(None, A), (None, B), (None, C), (5, A + " x"), (5, B + " y"), (6, C)]),
+        ("long", [(None, A), (None, B), (7, C)]),
+        ("string", [(None, A), ("null", B), ("null", C), (None, D), (None, D)]),
+    ],
+)
+def test_one_row_of_each_component_stays(spark, kind, rows):
+    df = spark.createDataFrame(rows, f"id {kind}, text string").selectExpr("*", "map('a', id) as more", "1 as __place2")
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if (slow_fingerprint(rows[i][1]) ^ slow_fingerprint(rows[j][1])).bit_count() <= 3]
+    least, groups = reached(len(rows), links), {}
+    for i, row in enumerate(rows):
+        groups.setdefault(least[i], []).append(row)
+    for source in (df, df.repartition(5), df.unionByName(df)):
+        kept = simhash.one_of_each_group(source, "id", "text")
+        assert kept.columns == df.columns
+        found = [(r.id, r.text) for r in kept.collect()]
+        assert len(found) == len(groups)
+        for group in groups.values():
+            (one,) = [row for row in found if row in group]
+            assert (one[0] is None, one[0] or 0) == min((r[0] is None, r[0] or 0) for r in group)
+
+
+def test_exact_dedup_keeps_the_same_row_on_reruns(spark):
+    rows = [(1, "a b", source, lang) for source in "xyz" for lang in ("en", None)] + [(1, "a\tb", "w", "en"), (None, "", "x", None), (None, None, "y", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    kept = {tuple(sorted(map(repr, exact.without_exact_duplicates(df.repartition(n)).collect()))) for n in (1, 3, 8)}
+    assert len(kept) == 1 and len(next(iter(kept))) == 2
+
+
+def test_sample_of_a_language_is_bounded(spark):
+    df = spark.range(4_000).selectExpr("cast(null as long) as doc_id", "concat('text ', id) as text", "if(id % 2 = 0, 'a', 'b') as lang")
+    sample = language.sampled(df, "doc_id", "text", "lang", 100)
+    assert {r["lang"]: r["count"] for r in sample.groupBy("lang").count().collect()} == {"a": 100, "b": 100}
+    again = language.sampled(df.repartition(7), "doc_id", "text", "lang", 100)
+    assert sorted(map(tuple, sample.collect())) == sorted(map(tuple, again.collect()))
+    assert language.sampled(df.limit(0), "doc_id", "text", "lang", 100) is None
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text("aAbÀ \n\x85\x1c\xa0", max_size=40), st.integers(1, 4), st.sampled_from([1, 5, 1 << 20]))
 def test_fingerprint(text, length, block):
