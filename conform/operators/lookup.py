@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conform.operators.hotkeys import HOT_ROWS, KEY, SPREAD_BYTES, hot_keys, pieces
 from conform.operators.select import sortable_columns
+from conform.sources.inputs import planned, settled
 from conform.sources.jobs import side_by_side
+from conform.sources.workspace import stored
 
 # Largest lookup, as measured, that is sent whole to every executor.
 BROADCAST_BYTES = 128 * 1024 * 1024
 
+# A lookup that the planner estimates at so many times the limit is large without being measured.
+_FAR = 16
+
 _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 _SALT = "__salt"
 _ON = "__on"
@@ -24,14 +29,39 @@ _MATCHED = "__matched"
 
 def measured_bytes(df: DataFrame) -> int | None:
     """Memory the rows take once broadcast, measured by one aggregation; None for types it cannot measure."""
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    metrics = _metrics(df)
+    return None if metrics is None else _broadcast_bytes(df, df.agg(*[m.alias(name) for name, m in metrics.items()]).first())
+
+
+def _metrics(df: DataFrame) -> dict[str, Column] | None:
+    texts = _texts(df)
     fixed = [f.name for f in df.schema.fields if isinstance(f.dataType, _FIXED_WIDTH)]
     if len(texts) + len(fixed) < len(df.columns):
         return None
-    text_bytes = sum((F.coalesce(F.octet_length(name), F.lit(0)) for name in texts), F.lit(0).cast("bigint"))
-    measured = df.agg(F.count("*").alias("rows"), F.sum(text_bytes).alias("text")).first()
+    text_bytes = sum((F.coalesce(F.octet_length(f"`{name}`"), F.lit(0)) for name in texts), F.lit(0).cast("bigint"))
+    return {"rows": F.count(F.lit(1)), "text": F.sum(text_bytes)}
+
+
+def _texts(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+
+
+def _broadcast_bytes(df: DataFrame, measured: Row | dict) -> int:
     # Each row is stored with a header and a hash slot, each column takes a word, each text pads to one more.
-    return measured["rows"] * (32 + 8 * len(df.columns) + 8 * len(texts)) + (measured["text"] or 0)
+    return measured["rows"] * (32 + 8 * len(df.columns) + 8 * len(_texts(df))) + (measured["text"] or 0)
+
+
+def _measured(lookup: DataFrame, limit: int) -> tuple[DataFrame, int | None]:
+    """The lookup, stored unless it is a scan of stored columns, and its size in memory; None if unknown or far above the limit."""
+    known, metrics = planned(lookup), _metrics(lookup)
+    if known.light:
+        far = known.size is not None and known.size > _FAR * max(limit, 1)
+        return lookup, None if metrics is None or far else measured_bytes(lookup)
+    if metrics is None:
+        return stored(lookup, "lookup"), None
+    written = Observation()
+    rows = stored(lookup, "lookup", written, **metrics)
+    return rows, _broadcast_bytes(lookup, written.get)
 
 
 def left_lookup(
@@ -46,12 +76,19 @@ def left_lookup(
     A lookup measured to be small is broadcast, so ``df`` is not shuffled for it. Larger ones are joined by
     shuffle, on the key and a salt that cuts hot keys into pieces. They share one shuffle of ``df`` except
     for a lookup that has hot keys of its own.
+
+    Nothing is computed twice. A lookup that is more than a scan of stored columns is stored, and measured while it is
+    written; one whose stored columns the planner puts far above the limit is not measured at all. ``df`` is stored
+    only where its keys have to be counted and it is more than a scan.
     """
     added = [c for lookup in lookups for c in lookup.columns if c != on]
     if len(set(df.columns) | set(added)) < len(df.columns) + len(added):
         raise ValueError(f"the columns of the lookups must differ from each other and from {df.columns}: {added}")
-    sizes = side_by_side([lambda lookup=lookup: measured_bytes(lookup) for lookup in lookups], len(lookups))
-    fits = [size is not None and size <= broadcast_bytes for size in sizes]
+    found = side_by_side([lambda lookup=lookup: _measured(lookup, broadcast_bytes) for lookup in lookups], len(lookups))
+    lookups = [lookup for lookup, _ in found]
+    fits = [size is not None and size <= broadcast_bytes for _, size in found]
+    if not all(fits):
+        df = settled(df, "main")
     joined = df
     for lookup, small in zip(lookups, fits):
         if small:

@@ -1,4 +1,4 @@
-"""A total order over a table, kept as a column."""
+"""A total order over a table, cut into sorted parts that are stored."""
 
 from __future__ import annotations
 
@@ -7,31 +7,32 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from conform.operators.select import sortable_columns
-from conform.sources.workspace import durable
-
 PART = "__part"
 POSITION = "__position"
+_HASH = "__hash"
 _SOURCE = "__source"
+_IN_PART = (1 << 33) - 1
 
 
-def in_order(df: DataFrame, order_by: Sequence[str], tie_break: Sequence[str] | None = None) -> DataFrame:
-    """The table sorted, with the number of its sorted partition and a position that grows with the order.
+def sorted_parts(df: DataFrame, order_by: Sequence[str], ties: Sequence[str]) -> DataFrame:
+    """The table in sorted parts: PART numbers them in the order of ``order_by``, POSITION the rows of a part from 0.
 
-    ``tie_break`` follows ``order_by`` and is every other column unless given. Copies of one row cannot be
-    told apart by any column, so the partition they were read from comes last: it lets the range exchange
-    cut even a large group of copies into pieces, and it does not change when a task is run again.
+    One range exchange on ``order_by``, a hash of ``ties`` and the partition a row was read from. The last two let the
+    exchange cut rows that are equal in ``order_by``, and even copies that no column can tell apart, into pieces; they do
+    not change when a task is run again. Rows of a part are sorted by ``order_by``, then by ``ties``. So only rows that are equal in
+    ``order_by`` and lie in different parts are not yet in the order of their ties: there are such rows around the
+    borders of parts alone.
 
-    The sorted table is checkpointed. Position and part are only meaningful for one physical layout, and
-    callers read the table more than once.
+    The numbers belong to the physical layout of one run: store the result before it is used.
     """
-    ties = sortable_columns(df, without=list(order_by)) if tie_break is None else list(tie_break)
-    ordered = (
-        df.withColumn(_SOURCE, F.spark_partition_id())
-        .orderBy(*[F.asc_nulls_first(c) for c in (*order_by, *ties, _SOURCE)])
-        .drop(_SOURCE)
-        .withColumn(POSITION, F.monotonically_increasing_id())
-        # The upper bits of the id are the partition it was given in.
-        .withColumn(PART, F.shiftright(POSITION, 33).cast("int"))
+    cut = [_SOURCE]
+    marked = df.withColumn(_SOURCE, F.spark_partition_id())
+    if ties:
+        marked, cut = marked.withColumn(_HASH, F.xxhash64(*[F.col(f"`{tie}`") for tie in ties])), [_HASH, _SOURCE]
+    ranged = marked.repartitionByRange(*[F.asc_nulls_first(f"`{name}`") for name in order_by], *cut)
+    ordered = ranged.sortWithinPartitions(*[F.asc_nulls_first(f"`{name}`") for name in (*order_by, *ties)])
+    # The upper bits of the id are the partition it is given in, the lower ones count its rows.
+    number = F.monotonically_increasing_id()
+    return ordered.drop(*cut).withColumns(
+        {PART: F.shiftright(number, 33).cast("int"), POSITION: number.bitwiseAND(F.lit(_IN_PART))}
     )
-    return durable(ordered)

@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -28,8 +30,30 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/conform-{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, purpose: str, observed: Observation | None = None, **metrics: Column) -> DataFrame:
+    """The rows written once as Parquet below the shared folder and read back, whatever happens to the executors.
+
+    ``observed`` collects the metrics while the rows are written. A reader of the result scans the columns it needs only.
+    Columns without a type (bare NULLs) are left out of the files and put back.
+    """
+    spark = df.sparkSession
+    untyped = {field.name for field in df.schema.fields if isinstance(field.dataType, T.NullType)}
+    typed = [field for field in df.schema.fields if field.name not in untyped]
+    if not typed:
+        return durable(df)
+    rows = df.select(*[F.col(f"`{field.name}`") for field in typed]) if untyped else df
+    if observed is not None:
+        rows = rows.observe(observed, *[metric.alias(name) for name, metric in metrics.items()])
+    folder = new_folder(spark, purpose)
+    rows.write.parquet(folder)
+    back = spark.read.schema(T.StructType(typed)).parquet(folder)
+    if not untyped:
+        return back
+    return back.select(*[F.lit(None).alias(name) if name in untyped else F.col(f"`{name}`") for name in df.columns])
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """The rows written to reliable storage and read back from there, whatever happens to the executors."""
+    """The rows checkpointed to reliable storage, for what files of columns cannot hold."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
         context.setCheckpointDir(shared_folder(df.sparkSession))

@@ -340,6 +340,19 @@ _FROM_TABLES = {
         SELECT row_number() OVER (ORDER BY l_returnflag NULLS FIRST, l_linestatus NULLS FIRST) AS line_seq,
                l_returnflag, l_linestatus
         FROM lineitem""",
+    "q45_keys_in_bitmaps": """
+        WITH named AS (
+            SELECT 'o_orderkey' AS column_name, CAST(o_orderkey AS BIGINT) AS key FROM orders
+            UNION ALL
+            SELECT 'o_custkey_thinned', CASE WHEN o_custkey % 5 > 0 THEN CAST(o_custkey AS BIGINT) END FROM orders
+            UNION ALL
+            SELECT 'l_orderkey', CAST(l_orderkey AS BIGINT) FROM lineitem),
+        per_key AS (SELECT column_name, key, count(*) AS n FROM named GROUP BY column_name, key)
+        SELECT column_name, count(*) AS keys, count(*) FILTER (n > 1) AS repeated_keys,
+               min(key) AS first_key, max(key) AS last_key, count(key) AS keys_set,
+               min(key) = 1 AND max(key) = sum(n) AND count(key) = sum(n) AS gapless,
+               count(*) FILTER (n > 1 AND key IS NOT NULL) AS fan_out_keys
+        FROM per_key GROUP BY column_name""",
 }
 
 ORACLE_SQL = {

@@ -24,7 +24,7 @@ from conform.plans.run import Layout, feed_specs, run_all, run_bronze
 from conform.plans.schemas import RAW_SCHEMAS
 from conform.sources import FeedSpec, qualified_name, read_csv_feed
 from conform.sources.jobs import side_by_side
-from conform.sources.workspace import new_folder
+from conform.sources.workspace import new_folder, stored
 from conform.verification.raw_feeds import RAW_FEEDS, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -308,10 +308,14 @@ def gapless_key_of_copies(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def star_schema_checks(spark: SparkSession, folder: str) -> DataFrame:
-    """One row: each check gives one row with columns of its own, and the rows are folded into one."""
-    sales = silver_sales(spark, folder)
+    """One row: each check gives one row with columns of its own, and the rows are folded into one.
+
+    The fact is computed once, to be stored; its checks and those of the sales it is made from ride on that write.
+    """
+    watch = checks.WriteChecks(["product_key", "customer_key"])
     products, customers = _dimensions(spark, folder)
-    facts = gold.fact_sales(sales, products, customers)
+    sales = watch.input(silver_sales(spark, folder))
+    stored(watch.output(gold.fact_sales(sales, products, customers)), "facts")
     parts = [
         checks.key_uniqueness(customers, "customer_id").toDF("customer_ids", "repeated_customer_ids"),
         checks.key_uniqueness(products, "product_number").toDF("product_numbers", "repeated_product_numbers"),
@@ -323,12 +327,33 @@ def star_schema_checks(spark: SparkSession, folder: str) -> DataFrame:
         ),
         checks.join_fan_out(products, "product_number").toDF("product_fan_out_keys"),
         checks.join_fan_out(customers, "customer_id").toDF("customer_fan_out_keys"),
-        checks.rows_preserved(sales, facts),
-        checks.unresolved_keys(facts, ["product_key", "customer_key"]).drop("rows"),
     ]
     rows = reduce(lambda above, below: above.unionByName(below, allowMissingColumns=True), parts)
     folded = rows.agg(*(F.max(name).alias(name) for name in rows.columns))
-    return folded.withColumn("not_empty", F.lit(checks.not_empty(sales)))
+    counted = {"rows_before": watch.rows_before, "rows_after": watch.rows_after}
+    counted |= {f"{key}_unresolved": missing for key, missing in watch.unresolved.items()}
+    told = {"preserved": watch.preserved, "not_empty": watch.not_empty}
+    return folded.withColumns(
+        {name: F.lit(n).cast("bigint") for name, n in counted.items()} | {name: F.lit(answer) for name, answer in told.items()}
+    )
+
+
+def keys_in_bitmaps(spark: SparkSession, folder: str) -> DataFrame:
+    """The checks of integer keys in bitmaps, on keys with gaps, copies and NULLs; one row for each column."""
+    orders, lines = table(spark, folder, "orders"), table(spark, folder, "lineitem")
+    thinned = F.when(F.col("o_custkey") % 5 > 0, F.col("o_custkey")).alias("key")
+    columns = {
+        "o_orderkey": orders.select(F.col("o_orderkey").alias("key")),
+        "o_custkey_thinned": orders.select(thinned),
+        "l_orderkey": lines.select(F.col("l_orderkey").alias("key")),
+    }
+    rows = []
+    for name, keys in columns.items():
+        parts = [check(keys, "key", bitmap_rows=1) for check in (checks.key_uniqueness, checks.key_gaps, checks.join_fan_out)]
+        parts[1] = parts[1].withColumnRenamed("keys", "keys_set")
+        row = reduce(lambda above, below: above.unionByName(below, allowMissingColumns=True), parts)
+        rows.append(row.agg(F.lit(name).alias("column_name"), *(F.max(c).alias(c) for c in row.columns)))
+    return reduce(DataFrame.unionByName, rows)
 
 
 QUERIES: dict[str, Query] = {
@@ -378,4 +403,5 @@ QUERIES: dict[str, Query] = {
     "q42_lookups_of_hot_keys": lookups_of_hot_keys,
     "q43_hot_keys_in_a_lookup": hot_keys_in_a_lookup,
     "q44_gapless_key_of_copies": gapless_key_of_copies,
+    "q45_keys_in_bitmaps": keys_in_bitmaps,
 }

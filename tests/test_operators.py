@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import datetime
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -20,8 +21,11 @@ from conform.operators import (
     project,
     resolve_key,
 )
+from conform.operators import hotkeys, keys, lookup, validity
 from conform.operators.hotkeys import KEY, ROWS, hot_keys, pieces
 from conform.operators.lookup import measured_bytes
+from conform.sources.inputs import planned
+from conform.sources.workspace import stored
 
 D = datetime.date
 
@@ -123,6 +127,61 @@ def test_every_hot_key_is_found(spark, many):
     assert hot_keys(df, "k", 4).isEmpty()
 
 
+def test_counts_of_keys_are_not_shuffled(spark, monkeypatch):
+    df = stored(spark.range(40_000).select(F.when(F.col("id") % 4 == 0, -1).otherwise(F.col("id")).alias("k")), "t")
+    plans = stored_plans(monkeypatch, hotkeys)
+    assert rows(hot_keys(df, "k", 1000)) == Counter([(-1, 10_000)])
+    assert "hashpartitioning(__slot" in plans[0] and "__hot_key" not in plans[0].split("Exchange")[1].split("+-")[0]
+    assert "BroadcastHashJoin" in plans[1] and "LeftSemi" in plans[1]
+    # The second count sees the keys of one slot of a thousand.
+    slots = 1 << (16 * 40).bit_length()
+    slot = F.pmod(F.xxhash64("k"), F.lit(slots))
+    hot = df.where("k = -1").select(slot.alias("s")).distinct()
+    assert df.select("k", slot.alias("s")).join(hot, "s").select("k").distinct().count() < 40_000 / 16
+    before = len(plans)
+    assert hot_keys(df, "k", 40_000).isEmpty() and len(plans) == before  # nothing counted
+
+
+def test_inputs_are_computed_once(spark):
+    computed = {name: spark.sparkContext.accumulator(0) for name in ("main", "small", "large")}
+
+    def counted(name):
+        def count(batches):
+            for batch in batches:
+                computed[name].add(len(batch))
+                yield batch
+
+        return count
+
+    main = spark.range(5000).mapInPandas(counted("main"), "id long").select((F.col("id") % 50).alias("k"), "id")
+    small = spark.range(40).mapInPandas(counted("small"), "id long").select(F.col("id").alias("k"), F.lit("s").alias("a"))
+    large = spark.range(45).mapInPandas(counted("large"), "id long").select(F.col("id").alias("k"), F.lit("t" * 99).alias("b"))
+    with no_broadcast(spark):
+        result = left_lookup(main, "k", small, large, broadcast_bytes=6_000, hot_rows=60)
+        assert result.where("a is not null").count() == 4000 and result.where("b is not null").count() == 4500
+        assert "BroadcastHashJoin" in plan(result) and "SortMergeJoin" in plan(result)
+        close_validity(main.withColumn("s", F.current_date()), "k", "s", hot_rows=60).count()
+    assert {name: n.value for name, n in computed.items()} == {"main": 2 * 5000, "small": 40, "large": 45}
+
+
+def test_far_larger_lookup_is_not_measured(spark, monkeypatch):
+    stored_lookup = stored(spark.range(100_000).select(F.col("id").alias("k"), F.xxhash64("id").alias("a")), "t")
+    monkeypatch.setattr(lookup, "measured_bytes", lambda df: pytest.fail("measured"))
+    with no_broadcast(spark):
+        facts = stored(spark.range(100).withColumnRenamed("id", "k"), "t")
+        assert left_lookup(facts, "k", stored_lookup, broadcast_bytes=1000, hot_rows=10**9).count() == 100
+
+
+def test_planned(spark):
+    table = stored(spark.range(1000).withColumn("v", F.lit("x")), "t")
+    assert planned(table).light and planned(table).size > 0
+    assert planned(table.where("id > 5").select("id")).light and planned(table.where("id > 5")).size is None
+    for heavy in (table.join(table, "id"), table.distinct(), table.orderBy("id"), spark.createDataFrame([(1,)], "a int")):
+        assert not planned(heavy).light and planned(heavy).size is None
+    void = stored(table.select("id", F.lit(None).alias("nothing"), "v"), "t")
+    assert void.columns == ["id", "nothing", "v"] and void.schema["nothing"].dataType.simpleString() == "void"
+
+
 ODD_KEYS = {
     "nan": ("double", [float("nan"), 1.5, -0.0, 0.0, None]),
     "binary": ("binary", [b"hot", b"", b"x", None]),
@@ -242,6 +301,40 @@ def test_close_validity_cuts_copies_of_one_row(spark):
     )
 
 
+def stored_plans(monkeypatch, module):
+    """The plans of all frames that a module stores, as they were before."""
+    plans, store = [], module.stored
+
+    def recorded(df, *args, **kwargs):
+        plans.append(plan(df))
+        return store(df, *args, **kwargs)
+
+    monkeypatch.setattr(module, "stored", recorded)
+    return plans
+
+
+def test_hot_versions_take_one_range_exchange(spark, monkeypatch):
+    data = [(["hot", "warm"][i % 2], i, D(2020, 1, 1) + datetime.timedelta(days=i % 90)) for i in range(3000)]
+    df = stored(shuffled(spark, data, "k string, id int, s date"), "t")
+    plans = stored_plans(monkeypatch, validity)
+    result = close_validity(df, "k", "s", hot_rows=500)
+    whole_rows = [text for text in plans if "MapInArrow" in text or "MapInPandas" in text or "PythonMapInArrow" in text]
+    assert len(whole_rows) == 1
+    assert whole_rows[0].count("Exchange rangepartitioning") == 1 and "Exchange hashpartitioning" not in whole_rows[0]
+    assert sum(text.count("rangepartitioning") for text in plans) == 1
+    assert "Exchange" not in plan(result.where("k = 'hot'")).split("Union")[0].replace("BroadcastExchange", "")
+    assert rows(result) == rows(expected_validity(df, ["id"]))
+
+
+def test_ties_of_hot_versions_are_settled_across_parts(spark):
+    rng = random.Random(8)
+    data = [("hot", rng.randrange(30), rng.choice("abc"), D(2020, 1, 1 + rng.randrange(3))) for _ in range(4000)]
+    df = shuffled(spark, data, "k string, id int, t string, s date")
+    with settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
+        result = close_validity(df, "k", "s", hot_rows=100)
+        assert rows(result) == rows(expected_validity(df, ["id", "t"]))
+
+
 # --- surrogate keys ---------------------------------------------------------------------------------------
 
 
@@ -265,6 +358,29 @@ def test_gapless_key_is_row_number(spark, coalesce):
         assert rows(keyed) == rows(global_numbers(df, ["a", "d", "id"]))
 
 
+@pytest.mark.parametrize("ties", [["id", "t", "u"], ["u"], []])
+def test_gapless_key_with_ties_in_many_parts(spark, ties):
+    rng = random.Random(9)
+    data = [(rng.choice("ab"), rng.randrange(4), rng.choice([None, "x", "y"]), i) for i in range(3000)]
+    df = shuffled(spark, data, "a string, id int, t string, u int")
+    with settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
+        found = gapless_key(df, ["a"], "key", tie_break=ties)
+        columns = ["key", "a", *ties]
+        assert rows(found.select(columns)) == rows(global_numbers(df, ["a", *ties]).select(columns))
+        assert rows(found.drop("key")) == rows(df)
+
+
+def test_gapless_key_exchanges_order_values_only(spark, monkeypatch):
+    df = shuffled(spark, [(i, f"t{i}", i * 0.5, "more") for i in range(500)], "a int, b string, c double, d string")
+    plans = stored_plans(monkeypatch, keys)
+    with settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
+        text = plan(gapless_key(df, ["a"], "n"))
+    exchanges = re.findall(r"rangepartitioning\((.*?), \d+\)", plans[0])
+    assert len(exchanges) == 1 and len(exchanges[0].split(",")) == 3  # the order value, a hash and the source partition
+    assert len(plans) == 2 and "rangepartitioning" not in plans[1]  # ends of the parts: no value is cut
+    assert "FileScan parquet" in text and "ExistingRDD[a" not in text
+
+
 def test_gapless_key_of_copies_nulls_and_nothing(spark):
     with settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
         copies = gapless_key(shuffled(spark, [("x", 1)] * 2000 + [(None, None)] * 500, "a string, b int"), ["a"], "n")
