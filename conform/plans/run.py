@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from conform.operators.checks import WriteChecks
 from conform.plans import gold, silver
 from conform.plans.schemas import FEED_FILES, RAW_SCHEMAS
 from conform.sources import FeedSpec, ingest_all, qualified_name, read_table, write_table
@@ -90,11 +91,25 @@ def build_gold_table(spark: SparkSession, layout: Layout, table: str, sources: I
 
 
 def run_gold_table(
-    spark: SparkSession, layout: Layout, table: str, *, sources: Iterable[str] = (), target: str | None = None
+    spark: SparkSession,
+    layout: Layout,
+    table: str,
+    *,
+    sources: Iterable[str] = (),
+    target: str | None = None,
+    watch: WriteChecks | None = None,
 ) -> str:
-    """Build and store one table of the star schema. Returns the name of the target."""
+    """Build and store one table of the star schema. Returns the name of the target.
+
+    ``watch`` checks the rows of the first source and of the result while they are written.
+    """
     target = target or layout.name("gold", table)
-    write_table(build_gold_table(spark, layout, table, sources), target, table_format=layout.table_format)
+    frames = [read_table(spark, name) for name in list(sources) or [layout.name(*source) for source in GOLD_INPUTS[table]]]
+    if watch is None:
+        built = GOLD_TABLES[table](*frames)
+    else:
+        built = watch.output(GOLD_TABLES[table](watch.input(frames[0]), *frames[1:]))
+    write_table(built, target, table_format=layout.table_format)
     return target
 
 

@@ -308,6 +308,9 @@ _FROM_STEPS = {
                (SELECT count(*) FROM fact_sales WHERE product_key IS NULL) AS product_key_unresolved,
                (SELECT count(*) FROM fact_sales WHERE customer_key IS NULL) AS customer_key_unresolved""",
     "q40_layered_fact": "SELECT * FROM fact_sales",
+    "q47_resumed_run": "SELECT * FROM fact_sales",
+    "q48_stored_customers": "SELECT * FROM dim_customers",
+    "q49_stored_products": "SELECT * FROM dim_products",
 }
 
 _FROM_TABLES = {
@@ -353,6 +356,14 @@ _FROM_TABLES = {
                min(key) = 1 AND max(key) = sum(n) AND count(key) = sum(n) AS gapless,
                count(*) FILTER (n > 1 AND key IS NOT NULL) AS fan_out_keys
         FROM per_key GROUP BY column_name""",
+    "q46_rejected_lines": """
+        WITH lines AS (
+            SELECT c_custkey % 5 AS kind, CAST(c_custkey AS VARCHAR) AS key,
+                   concat(c_custkey, ',AW', c_custkey, ',Ann,Lee,S,F,2024-01-01') AS good FROM customer)
+        SELECT 'crm_cust_info' AS feed,
+               CASE kind WHEN 1 THEN 'x' || good WHEN 2 THEN concat(key, ',AW', key) ELSE good || ',surplus' END AS line,
+               (SELECT count(*) FROM lines) AS landed
+        FROM lines WHERE kind IN (1, 2, 3)""",
 }
 
 ORACLE_SQL = {

@@ -20,9 +20,10 @@ from conform.functions import (
 )
 from conform.operators import checks, close_validity, current_only, dedupe_latest, gapless_key, left_lookup, resolve_key
 from conform.plans import gold, silver
-from conform.plans.run import Layout, feed_specs, run_all, run_bronze
+from conform.plans.manifest import RunFailed, resume_all
+from conform.plans.run import GOLD_INPUTS, Layout, feed_specs, run_all, run_bronze, run_gold_table
 from conform.plans.schemas import RAW_SCHEMAS
-from conform.sources import FeedSpec, qualified_name, read_csv_feed
+from conform.sources import FeedSpec, ingest_feed, qualified_name, read_csv_feed
 from conform.sources.jobs import side_by_side
 from conform.sources.workspace import new_folder, stored
 from conform.verification.raw_feeds import RAW_FEEDS, table
@@ -152,6 +153,64 @@ def layered_fact(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(_run_layers(spark, folder).name("gold", "fact_sales"))
 
 
+def rejected_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """A feed with bad, short and long lines, landed once: the rejected lines as stored, and how many rows landed."""
+    layout, _ = _new_layout(spark)
+    spec = FeedSpec("crm", new_folder(spark, "csv"), "crm_cust_info", layout.bronze)
+    key = F.col("c_custkey").cast("string")
+    good = F.concat(key, F.lit(",AW"), key, F.lit(",Ann,Lee,S,F,2024-01-01"))
+    kind = F.col("c_custkey") % 5
+    line = (
+        F.when(kind == 1, F.concat(F.lit("x"), good))
+        .when(kind == 2, F.concat(key, F.lit(",AW"), key))
+        .when(kind == 3, F.concat(good, F.lit(",surplus")))
+        .otherwise(good)
+    )
+    # Every file begins with a line of names.
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    lines = table(spark, folder, "customer").select(F.when(first, F.concat(F.lit("names\n"), line)).otherwise(line))
+    lines.write.text(spec.path)
+    rejects = qualified_name("rejects", layout.bronze)
+    landed = ingest_feed(spark, spec, RAW_SCHEMAS, rejects=rejects).count()
+    return spark.table(rejects).select("feed", "line", F.lit(landed).cast("bigint").alias("landed"))
+
+
+def resumed_run(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact after a run that broke off, since one feed had not arrived, and one that did the rest."""
+    layout, specs = _new_layout(spark)
+    late = [spec for spec in specs if spec.table == "crm_sales_details"]
+    write_csv_feeds(spark, folder, [spec for spec in specs if spec not in late])
+    book = new_folder(spark, "manifest")
+    try:
+        resume_all(spark, layout, specs, book, parallel=4)
+    except RunFailed as broken:
+        assert list(broken.report.failed) == ["bronze.crm_sales_details"], broken.report
+    write_csv_feeds(spark, folder, late)
+    report = resume_all(spark, layout, specs, book, parallel=4)
+    assert report.done == ["bronze.crm_sales_details", "silver.crm_sales_details", "gold.fact_sales"], report
+    return spark.table(layout.name("gold", "fact_sales"))
+
+
+def stored_customers(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.table(_run_layers(spark, folder).name("gold", "dim_customers"))
+
+
+def stored_products(spark: SparkSession, folder: str) -> DataFrame:
+    """Products built from sources and stored in a table of the caller's names, with exactly the columns they should have."""
+    layout = _run_layers(spark, folder)
+    sources = []
+    for number, (layer, source) in enumerate(GOLD_INPUTS["dim_products"]):
+        sources.append(f"source_{number}_{uuid.uuid4().hex}")
+        spark.table(layout.name(layer, source)).createOrReplaceTempView(sources[-1])
+    target = layout.name("gold", "products_by_name")
+    run_gold_table(spark, layout, "dim_products", sources=sources, target=target)
+    empty = gold.dim_products(spark.table(sources[0]).limit(0), spark.table(sources[1]).limit(0))
+    stored_table = spark.table(target)
+    assert checks.has_columns(stored_table, spark.table(layout.name("gold", "dim_products")).columns)
+    assert empty.count() == 0 and checks.has_columns(empty, stored_table.columns)
+    return stored_table
+
+
 # --- rules ------------------------------------------------------------------------------------------------
 
 
@@ -404,4 +463,8 @@ QUERIES: dict[str, Query] = {
     "q43_hot_keys_in_a_lookup": hot_keys_in_a_lookup,
     "q44_gapless_key_of_copies": gapless_key_of_copies,
     "q45_keys_in_bitmaps": keys_in_bitmaps,
+    "q46_rejected_lines": rejected_lines,
+    "q47_resumed_run": resumed_run,
+    "q48_stored_customers": stored_customers,
+    "q49_stored_products": stored_products,
 }

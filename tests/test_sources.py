@@ -67,6 +67,33 @@ def test_ingest_overwrites_or_appends(spark, tmp_path, database):
     assert ingest_feed(spark, spec, schemas, mode="append").count() == 2
 
 
+def test_rejected_lines_have_a_table_of_their_own(spark, tmp_path, database):
+    spec = FeedSpec("crm", csv(tmp_path, "c.csv", CUSTOMERS), "crm_cust_info", database)
+    rejects = qualified_name("rejects", database)
+    landed = ingest_feed(spark, spec, RAW_SCHEMAS, rejects=rejects)
+    plain = read_csv_feed(spark, spec.path, RAW_SCHEMAS["crm_cust_info"])
+    assert sorted(map(repr, landed.collect())) == sorted(map(repr, plain.collect())) and landed.columns == plain.columns
+    lines = spark.table(rejects).collect()
+    assert sorted(row["line"] for row in lines) == sorted(CUSTOMERS.splitlines()[2:])
+    assert {(row["feed"], row["file"].rsplit("/", 1)[-1]) for row in lines} == {("crm_cust_info", "c.csv")}
+    csv(tmp_path, "c.csv", "header\n1,AW1,Ann,Lee,S,F,2024-01-01\n")
+    assert ingest_feed(spark, spec, RAW_SCHEMAS, rejects=rejects).count() == 1
+    assert spark.table(rejects).count() == 0
+    with pytest.raises(ValueError, match="rejected"):
+        ingest_feed(spark, spec, RAW_SCHEMAS, mode="append", rejects=rejects)
+
+
+def test_table_with_other_columns_or_format_is_replaced(spark, database):
+    name = qualified_name("t", database)
+    write_table(spark.range(3), name)
+    write_table(spark.range(4).selectExpr("id", "'x' as v"), name)
+    assert spark.table(name).columns == ["id", "v"] and spark.table(name).count() == 4
+    write_table(spark.range(5).selectExpr("id", "'x' as v"), name, table_format="orc")
+    assert spark.table(name).count() == 5
+    write_table(spark.range(2).selectExpr("id", "'x' as v", "1 as hidden"), name, table_format="orc", columns=["id", "v"])
+    assert spark.table(name).columns == ["id", "v"] and spark.table(name).count() == 2
+
+
 @pytest.mark.parametrize("parallel", [1, 4])
 def test_run_bronze_lands_every_feed(spark, tmp_path, database, parallel):
     layout = Layout(bronze=database)
