@@ -14,6 +14,7 @@ from conform.plans.schemas import FEED_FILES, RAW_SCHEMAS
 from conform.sources import FeedSpec, ingest_all, qualified_name, read_table, write_table
 from conform.sources.jobs import side_by_side
 from conform.sources.tables import TABLE_FORMAT
+from conform.sources.workspace import scratch
 
 # The tables each part of the star schema is built from, by layer.
 GOLD_INPUTS = {
@@ -68,9 +69,10 @@ def run_silver_table(
     """Clean one raw table; source and target may be any table names. Returns the name of the target."""
     raw = read_table(spark, source or layout.name("bronze", table))
     clean = silver.SILVER_TABLES[table]
-    cleaned = clean(raw, as_of) if clean is silver.demographics else clean(raw)
     target = target or layout.name("silver", table)
-    write_table(cleaned, target, table_format=layout.table_format)
+    with scratch(spark):
+        cleaned = clean(raw, as_of) if clean is silver.demographics else clean(raw)
+        write_table(cleaned, target, table_format=layout.table_format)
     return target
 
 
@@ -105,11 +107,12 @@ def run_gold_table(
     """
     target = target or layout.name("gold", table)
     frames = [read_table(spark, name) for name in list(sources) or [layout.name(*source) for source in GOLD_INPUTS[table]]]
-    if watch is None:
-        built = GOLD_TABLES[table](*frames)
-    else:
-        built = watch.output(GOLD_TABLES[table](watch.input(frames[0]), *frames[1:]))
-    write_table(built, target, table_format=layout.table_format)
+    with scratch(spark):
+        if watch is None:
+            built = GOLD_TABLES[table](*frames)
+        else:
+            built = watch.output(GOLD_TABLES[table](watch.input(frames[0]), *frames[1:]))
+        write_table(built, target, table_format=layout.table_format)
     return target
 
 

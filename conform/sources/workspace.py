@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _SETTING = "spark.checkpoint.dir"
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,7 +31,28 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A path of its own under the shared folder; nothing is created yet."""
-    return f"{shared_folder(spark).rstrip('/')}/conform-{purpose}-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark).rstrip('/')}/conform-{purpose}-{uuid.uuid4().hex}"
+    made = _made.get()
+    if made is not None:
+        made.append(folder)
+    return folder
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Removes the folders that were begun inside it, by this thread and the jobs it runs side by side, once it is left.
+
+    Frames made inside must have been written elsewhere or collected by then. Paths taken off the list stay.
+    """
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield made
+    finally:
+        _made.reset(token)
+        for folder in made:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, purpose: str, observed: Observation | None = None, **metrics: Column) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import os
 import uuid
 
 import pytest
@@ -10,7 +11,8 @@ import pytest
 from conform.plans.run import Layout, feed_specs, run_bronze
 from conform.plans.schemas import RAW_SCHEMAS
 from conform.sources import FeedSpec, ingest_feed, qualified_name, read_csv_feed, set_current_catalog, write_table
-from conform.sources.workspace import durable, new_folder, shared_folder
+from conform.sources.jobs import side_by_side
+from conform.sources.workspace import durable, new_folder, scratch, shared_folder, stored
 
 
 @pytest.fixture
@@ -133,3 +135,13 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == folder
     assert new_folder(spark, "x").startswith(folder + "/conform-x-")
     assert durable(spark.range(5)).count() == 5
+
+
+def test_scratch_removes_what_was_stored_inside(spark, tmp_path):
+    with scratch(spark) as made:
+        frames = side_by_side([lambda n=n: stored(spark.range(n), "part") for n in (3, 4)], 2)
+        kept = stored(frames[0].unionAll(frames[1]), "kept")
+        assert kept.count() == 7 and len(made) == 3 and all(map(os.path.isdir, made))
+        place = made.pop()
+    assert not any(map(os.path.exists, made)) and kept.count() == 7
+    assert stored(spark.range(2), "outside").count() == 2 and os.path.isdir(place)
