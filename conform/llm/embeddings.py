@@ -23,25 +23,30 @@ def near_duplicate_vectors(
     id_column: str = "vec_id",
     vector_column: str = "embedding",
     cosine: float = 0.9,
-    pivots: int = 16,
-    sample: int = 2_000,
-    tile: int = 4_096,
+    pivots: int = 1_024,
+    sample: int = 4_096,
+    cell_degrees: float = 35.0,
+    tile: int = 8_192,
 ) -> DataFrame:
     """One row per row of ``df``: id, n_links, component_id and kept.
 
     Two vectors of the same dimension link if their cosine in double precision reaches ``cosine``. Vectors that are null, empty or zero, or
     have null or infinite components or NaN, link with nothing.
 
-    Equal vectors become one. Every vector belongs to the cell of its nearest pivot by angle. If x of cell i links with y
-    of cell j, the angle between x and y is at most r, so by the triangle inequality x is at most 2 r farther from pivot j
-    than from pivot i, and at most r beyond the boundary between the two; only where both allow it, x is also copied to
-    cell j, for j > i. Every link is then found in one cell, and cells join independently. A cell's own
-    vectors and its copies are dealt by hash into tiles, and a task compares one pair of tiles by a matrix product.
+    Equal vectors become one. A vector within ``cell_degrees`` of a pivot belongs to the cell of its nearest pivot, every
+    other one to the far cell. Each cell's covering radius R, the largest angle of its vectors to its pivot, is measured. If x links with
+    y of cell j, their angle is at most r, so by the triangle inequality x is within R_j + r of pivot j; and as x is nearer to its own
+    pivot, it is at most r beyond the boundary between the two. Only where both allow it, x is copied to cell j, vectors of the far cell
+    to any cell, others to cells behind their own. So every link is found in one cell, and cells join independently. A
+    cell's own vectors and its copies are dealt by hash into tiles, and a task compares one pair of tiles by a matrix product.
     It returns counts of links and the smallest id that each vector reaches inside the pair, never the pairs.
 
-    Pivots come from the ``sample`` vectors of smallest hash, the farthest first; they decide where the work is done, never what
-    is found. Vectors in all directions cannot be told apart by angles to pivots: these go to most cells and the work is quadratic.
-    Rows that repeat an id count as vectors of their own, and null ids get no component.
+    Pivots come from the ``sample`` vectors of smallest hash: those that have others of them within ``cell_degrees``, one
+    for each such neighbourhood and ``pivots`` at most, so there are more of them the more vectors crowd. They decide where
+    the work is done, never what is found. Vectors that are alone in all directions cannot be told apart by angles to pivots: the far
+    cell compares all pairs of its own, without copies.
+    Rows that repeat an id count as vectors of their own, and null ids get no component. An empty table gives an empty one; other
+    columns are not touched.
     """
     check_columns(df, id_column, vector_column)
     vectors = df.select(F.col(id_column).alias("id"), F.col(vector_column).cast("array<double>").alias("vector"))
@@ -57,8 +62,13 @@ def near_duplicate_vectors(
     by_size: dict[int, list] = {}
     for row in chosen:
         by_size.setdefault(len(row.vector), []).append(row.vector)
-    centres = {size: _farthest_first(_unit(np.array(rows)), pivots) for size, rows in by_size.items()}
-    placed = staged(_placed(classes, centres, cosine), "cells")
+    tight = math.radians(cell_degrees)
+    centres = {size: _crowded(_unit(np.array(rows)), tight, pivots) for size, rows in by_size.items() if size}
+    owned = staged(_owned(classes, centres, tight), "cells")
+    # One number for each pivot.
+    radii = {(r["size"], r["cell"]): r["radius"] for r in owned.groupBy("size", "cell").agg(F.max("angle").alias("radius")).collect()}
+    copies = staged(_copied(owned, centres, radii, cosine), "copies")
+    placed = owned.select(*copies.columns).unionByName(copies)
     found = staged(_compared(placed, cosine, tile), "vector-links")
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     components = connected_components(found, "node", "least")
@@ -87,53 +97,83 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def _farthest_first(rows: np.ndarray, count: int) -> np.ndarray:
-    """Up to ``count`` of the rows, each the farthest from those before."""
-    chosen, nearest = [0], rows @ rows[0]
-    while len(chosen) < min(count, len(rows)):
-        at = int(nearest.argmin())
-        chosen.append(at)
-        nearest = np.maximum(nearest, rows @ rows[at])
+def _crowded(rows: np.ndarray, tight: float, count: int) -> np.ndarray:
+    """Up to ``count`` of the rows that have another row within ``tight``, none of them within ``tight`` of one before."""
+    near = rows @ rows.T >= math.cos(tight)
+    chosen, covered = [], near.sum(axis=1) < 2
+    for at in np.argsort(-near.sum(axis=1), kind="stable"):
+        if not covered[at] and len(chosen) < count:
+            chosen.append(int(at))
+            covered |= near[at]
     return rows[chosen]
 
 
-def _placed(classes: DataFrame, centres: dict[int, np.ndarray], cosine: float) -> DataFrame:
-    """node, n, size, cell, own and unit (the unit vector in doubles): a vector's own cell, and those it is copied to."""
-    radius = math.acos(max(-1.0, min(1.0, cosine)))
+_PLACED = "node string, n long, size int, cell int, own boolean, unit binary"
+
+
+def _owned(classes: DataFrame, centres: dict[int, np.ndarray], tight: float) -> DataFrame:
+    """node, n, size, cell, own, unit (the unit vector in doubles), and the angle to the cell's pivot; cell -1 is the far one."""
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sizes = batch["vector"].map(len)
-            for size, part in batch.groupby(sizes):
+            for size, part in batch.groupby(batch["vector"].map(len)):
                 units = _unit(np.stack(part["vector"].to_numpy()).astype(float))
                 pivots = centres.get(size, units[:0])
-                if not len(pivots):
-                    pivots = np.eye(1, size)
-                products = np.clip(units @ pivots.T, -1, 1)
-                angles = np.arccos(products)
-                own = angles.argmin(axis=1)
-                nearest = angles[np.arange(len(own)), own]
-                # The sine of the angle to the plane that halves the way between two pivots.
-                apart = np.linalg.norm(pivots[own][:, None, :] - pivots[None, :, :], axis=2)
-                gap = products[np.arange(len(own)), own][:, None] - products
-                beyond = np.arcsin(np.clip(gap / np.maximum(apart, 1e-12), -1, 1))
-                copied = (angles - nearest[:, None] <= 2 * radius + _SLACK) & (beyond <= radius + _SLACK)
-                copied &= np.arange(len(pivots))[None, :] > own[:, None]
-                row, cell = np.nonzero(copied)
-                rows = np.concatenate([np.arange(len(own)), row])
+                cell, angle = np.full(len(part), -1), np.zeros(len(part))
+                if len(pivots):
+                    products = np.clip(units @ pivots.T, -1, 1)
+                    nearest = products.argmax(axis=1)
+                    angles = np.arccos(products[np.arange(len(part)), nearest])
+                    inside = angles <= tight
+                    cell[inside], angle[inside] = nearest[inside], angles[inside]
                 yield pd.DataFrame(
                     {
-                        "node": part["node"].to_numpy()[rows],
-                        "n": part["n"].to_numpy()[rows],
+                        "node": part["node"].to_numpy(),
+                        "n": part["n"].to_numpy(),
                         "size": size,
-                        "cell": np.concatenate([own, cell]),
-                        "own": np.arange(len(rows)) < len(own),
-                        "unit": [unit.tobytes() for unit in units[rows]],
+                        "cell": cell,
+                        "own": True,
+                        "unit": [unit.tobytes() for unit in units],
+                        "angle": angle,
                     }
                 )
 
-    columns = classes.select("node", "n", "vector")
-    return columns.mapInPandas(place, "node string, n long, size int, cell int, own boolean, unit binary")
+    return classes.select("node", "n", "vector").mapInPandas(place, f"{_PLACED}, angle double")
+
+
+def _copied(
+    owned: DataFrame, centres: dict[int, np.ndarray], radii: dict[tuple[int, int], float], cosine: float
+) -> DataFrame:
+    """The copies of vectors in the cells where a vector of that cell could link with them."""
+    radius = math.acos(max(-1.0, min(1.0, cosine)))
+    # A pivot nobody belongs to gets no copies.
+    reach = {
+        size: np.array([radii.get((size, at), -math.inf) for at in range(len(pivots))]) + radius + _SLACK
+        for size, pivots in centres.items()
+    }
+
+    def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for size, part in batch.groupby("size"):
+                pivots = centres.get(size)
+                if pivots is None or not len(pivots):
+                    continue
+                units = np.frombuffer(b"".join(part["unit"]), dtype=float).reshape(len(part), size)
+                cell = part["cell"].to_numpy()
+                products = np.clip(units @ pivots.T, -1, 1)
+                near = (np.arccos(products) <= reach[size]) & (np.arange(len(pivots)) > cell[:, None])
+                row, other = np.nonzero(near)
+                own = cell[row]
+                # The sine of the angle to the plane that halves the way between two pivots; the far cell has no such plane.
+                apart = np.linalg.norm(pivots[own] - pivots[other], axis=1)
+                gap = products[row, own] - products[row, other]
+                beyond = np.arcsin(np.clip(gap / np.maximum(apart, 1e-12), -1, 1))
+                kept = (own < 0) | (beyond <= radius + _SLACK)
+                row, other = row[kept], other[kept]
+                columns = part[["node", "n", "size", "unit"]].iloc[row]
+                yield columns.assign(cell=other, own=False)[["node", "n", "size", "cell", "own", "unit"]]
+
+    return owned.mapInPandas(copy, _PLACED)
 
 
 def _compared(placed: DataFrame, cosine: float, tile: int) -> DataFrame:

@@ -267,6 +267,33 @@ def test_embeddings(spark):
     assert embeddings.near_duplicate_vectors(empty(df)).collect() == []
 
 
+@pytest.mark.parametrize("kind", ["clustered", "alone", "both", "in a chain"])
+@pytest.mark.parametrize("options", [{}, {"pivots": 3, "sample": 60, "tile": 16}, {"cell_degrees": 70.0, "tile": 50}])
+def test_embedding_cells(spark, kind, options):
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(12, 16))
+    crowded = centres[rng.integers(0, 12, 200)] + 0.3 * rng.normal(size=(200, 16))
+    alone = rng.normal(size=(200, 16))
+    angles = np.linspace(0, 2.5, 120)
+    chain = np.zeros((120, 16))
+    chain[:, 0], chain[:, 1] = np.cos(angles), np.sin(angles)
+    vectors = {"clustered": crowded, "alone": alone, "both": np.vstack([crowded, alone]), "in a chain": chain}[kind]
+    # Every third row repeats an id, every tenth has none.
+    ids = [None if i % 10 == 7 else i - i % 3 for i in range(len(vectors))]
+    rows = [(i, v.tolist()) for i, v in zip(ids, vectors, strict=True)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    links = [(i, j) for i, j in zip(*np.nonzero(near), strict=True) if i != j]
+    least, names = reached(len(rows), links), {}
+    for i, at in zip(ids, least, strict=True):
+        if i is not None:
+            names[at] = min(names.get(at, i), i)
+    expected = [(i, int(near[at].sum()) - 1, names.get(n), i == names.get(n)) for at, (i, n) in enumerate(zip(ids, least, strict=True))]
+    found = embeddings.near_duplicate_vectors(df, **options).collect()
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, expected))
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (None, 3)]
     found = connected_components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()
