@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -10,13 +11,15 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from conform.llm.staging import check_columns, staged, text_or_empty
 
 #: Words that one Python worker remembers, and code points that it takes apart at once.
 _MEMO, _BLOCK = 800_000, 1 << 20
+#: Chunks of a text that are handed on together.
+_PARTS = 64
 
 #: Where the tokens left and right of a place cannot depend on each other: behind white space and beside a digit.
 STABLE = re.compile(r"(?<=[\t-\r ])(?=[^\s])|(?<=[0-9])(?=[0-9A-Za-z])|(?<=[A-Za-z])(?=[0-9])")
@@ -40,11 +43,34 @@ def bytes_per_id(path: str, *others: int | None) -> int:
     return 2 if largest < 1 << 16 else 4
 
 
+#: What a vocabulary file says of normalising and splitting where ``STABLE`` and words hold.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def words_apart(tokenizer) -> bool:
+    """Whether the tokenizer is known to drop white space, to lower letters and to split as ``STABLE`` says."""
+    config = json.loads(tokenizer.to_str())
+    splits = (config.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    return (
+        (config.get("normalizer") or {}).get("normalizers") == _NORMALIZERS
+        and len(splits) == 2
+        and splits[0].get("pattern") == {"Regex": _SPLIT}
+        and (splits[0].get("behavior"), splits[0].get("invert")) == ("Removed", True)
+        and (splits[1].get("type"), splits[1].get("add_prefix_space"), splits[1].get("use_regex")) == ("ByteLevel", False, False)
+        and config.get("post_processor") is None
+        # Special strings are found in the text as it is: they must stay inside a word.
+        and not any(re.search(r"\s", t["content"]) or t["normalized"] or t["lstrip"] or t["rstrip"] for t in config["added_tokens"])
+    )
+
+
 class WordEncoder:
-    """Ids of texts under a tokenizer that drops white space and never joins what white space separates.
+    """Ids of texts as the library gives them.
 
-    Under such a tokenizer a text has the ids of its words in turn, so each different word is encoded once by the
-    library and remembered, up to a bound. Special strings hold no white space and stay inside their word.
+    Under a tokenizer that drops white space and never joins what white space separates, a text has the ids of its words
+    in turn, so each different word is encoded once by the library and remembered, up to a bound. Special strings
+    hold no white space and stay inside their word. ``apart`` tells whether the vocabulary file describes such a
+    tokenizer; under any other, texts are encoded as a whole.
     """
 
     def __init__(self, path: str):
@@ -53,10 +79,13 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.apart = words_apart(self.tokenizer)
         self.memo: dict[str, bytes] = {}
 
     def ids(self, text: str) -> bytes:
         """The ids as unsigned little-endian 32-bit numbers."""
+        if not self.apart:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if len(text) <= _BLOCK:
             return self._block(text)
         parts, start = [], 0
@@ -170,15 +199,16 @@ def token_counts(
 ) -> DataFrame:
     """One row per row of ``df``: id, n_bytes, n_tokens and over_limit of the whole text.
 
-    A document of up to ``chunk`` code points is encoded at once. A longer one is cut into chunks that repeat the
-    first ``overlap`` code points of the next, and these are encoded in any tasks, with offsets. Two neighbours are
-    spliced at the first place of their overlap where no token can span by the rule ``STABLE``, if neither encoding has
-    a token across it and both have the same ids from there to the next such place; tokens left of it count
-    for the one, tokens right of it for the other. Documents with an overlap that shows no such place go round
-    again with eight times the overlap, at last as a whole, so the result never depends on the cut.
+    A document of up to ``chunk`` code points is encoded at once. Each different longer text is taken once, however many
+    rows have it, and cut into chunks that repeat the first ``overlap`` code points of the next; these are encoded in any
+    tasks, with offsets. Two neighbours are spliced at the first place of their overlap where no token can span by
+    the rule ``STABLE``, if neither encoding has a token across it and both have the same ids from there to the next
+    such place; tokens left of it count for the one, tokens right of it for the other. Texts with an overlap that
+    shows no such place go round again with eight times the overlap and chunks that are at least as long, at last as a
+    whole, so the result never depends on the cut. Counts are joined back to the rows by the text's SHA-256.
 
-    Null text is empty and has no tokens; rows that repeat an id, or id and text, are counted each for itself.
-    The rule holds for tokenizers that split at white space and digits, as the production vocabulary does.
+    Null text is empty and has no tokens; rows that repeat an id, or id and text, are counted each for itself; an empty
+    table gives an empty one, other columns are not touched. Under a vocabulary that does not split as the rule says, texts are encoded as a whole.
     """
     check_columns(df, id_column, text_column)
     path = path or default_tokenizer()
@@ -191,38 +221,39 @@ def token_counts(
         for batch in texts:
             yield pd.Series([len(encoder.ids(text)) // 4 for text in batch], dtype="int64")
 
-    long = F.char_length("text") > chunk
-    short = rows.where(~long).select("id", "n_bytes", count("text").alias("n_tokens"))
-    pending = rows.where(long).withColumn("sha", F.sha2("text", 256))
-    done = []
-    while True:
-        counted = staged(_spliced(pending, path, chunk, overlap), "token-counts")
-        done.append(counted.where("aligned"))
-        failed = counted.where("not aligned").select("sha").distinct()
-        if failed.isEmpty():
-            break
-        pending, overlap = pending.join(failed, "sha", "left_semi"), overlap * 8
-    for part in done:
-        short = short.unionByName(part.select("id", "n_bytes", "n_tokens"))
+    long = F.char_length("text") > chunk if word_encoder(path).apart else F.lit(False)
+    counted = rows.where(~long).select("id", "n_bytes", count("text").alias("n_tokens"))
+    keyed = rows.where(long).withColumn("sha", F.sha2("text", 256))
+    # Copies of a text become one in each task before they are shuffled.
+    texts = staged(keyed.groupBy("sha").agg(F.first("text").alias("text")), "long-texts")
+    pending, known = texts, None
+    while not pending.isEmpty():
+        spliced = staged(_spliced(pending, path, chunk, overlap), "token-counts")
+        done = spliced.where("aligned").select("sha", "n_tokens")
+        known = done if known is None else known.unionByName(done)
+        pending = texts.join(spliced.where("not aligned").select("sha"), "sha", "left_semi")
+        overlap *= 8
+        chunk = max(chunk, overlap)
+    if known is not None:
+        counted = counted.unionByName(keyed.select("id", "n_bytes", "sha").join(known, "sha").drop("sha"))
     over = F.col("n_tokens") > limit
-    return short.select(F.col("id").alias(id_column), "n_bytes", "n_tokens", over.alias("over_limit"))
+    return counted.select(F.col("id").alias(id_column), "n_bytes", "n_tokens", over.alias("over_limit"))
 
 
-def _spliced(rows: DataFrame, path: str, chunk: int, overlap: int) -> DataFrame:
-    """id, n_bytes, sha, n_tokens and aligned for long documents."""
-    kind = rows.schema["id"].dataType.simpleString()
+def _spliced(texts: DataFrame, path: str, chunk: int, overlap: int) -> DataFrame:
+    """sha, n_tokens and aligned for different long texts."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for identifier, size, sha, text in zip(*(batch[name] for name in ("id", "n_bytes", "sha", "text")), strict=True):
+            for sha, text in zip(batch["sha"], batch["text"], strict=True):
                 # What is left for the last chunk must be longer than the overlap before it.
                 starts = [at for at in range(0, len(text), chunk) if at == 0 or len(text) - at > overlap]
                 ends = [*(at + overlap for at in starts[1:]), len(text)]
-                parts = [text[at:end] for at, end in zip(starts, ends, strict=True)]
-                numbers = range(len(parts))
-                yield pd.DataFrame(
-                    {"id": identifier, "n_bytes": size, "sha": sha, "at": numbers, "last": False, "part": parts}
-                ).assign(last=[number == len(parts) - 1 for number in numbers])
+                for low in range(0, len(starts), _PARTS):
+                    numbers = range(low, min(low + _PARTS, len(starts)))
+                    parts = [text[starts[number] : ends[number]] for number in numbers]
+                    last = [number == len(starts) - 1 for number in numbers]
+                    yield pd.DataFrame({"sha": sha, "at": numbers, "last": last, "part": parts})
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = word_encoder(path).tokenizer
@@ -230,6 +261,9 @@ def _spliced(rows: DataFrame, path: str, chunk: int, overlap: int) -> DataFrame:
             found = []
             for part, at, last in zip(batch["part"], batch["at"], batch["last"], strict=True):
                 encoding = tokenizer.encode(part, add_special_tokens=False)
+                if at == 0 and last:  # the whole text
+                    found.append((len(encoding), 0, 0, True))
+                    continue
                 spans = np.array(encoding.offsets, dtype=np.int64).reshape(-1, 2)
                 ids = np.array(encoding.ids, dtype="<u4")
                 begin, head = (0, 0) if at == 0 else _splice(part, 0, overlap, spans, ids)
@@ -237,39 +271,21 @@ def _spliced(rows: DataFrame, path: str, chunk: int, overlap: int) -> DataFrame:
                 aligned = begin is not None and end is not None and begin <= end
                 inside = (spans[:, 0] >= begin) & (spans[:, 0] < end) if aligned else np.zeros(0)
                 found.append((int(inside.sum()), head, tail, aligned))
-            yield pd.concat(
-                [
-                    batch[["id", "n_bytes", "sha", "at"]],
-                    pd.DataFrame(found, columns=["n", "head", "tail", "aligned"], index=batch.index),
-                ],
-                axis=1,
-            )
-
-    keys = f"id {kind}, n_bytes long, sha string, at int"
-    chunks = rows.mapInPandas(cut, f"{keys}, last boolean, part string")
-    # Chunks of one document go to different tasks; which, is the same whenever a task is repeated.
-    encoded = chunks.repartition("sha", "at").mapInPandas(
-        encode, f"{keys}, n long, head long, tail long, aligned boolean"
-    )
-    # The ids behind a splice, seen from its two sides: chunk ``at`` has the splice at its head, the one before at its tail.
-    sides = encoded.select(*encoded.columns, F.struct("at", "head", "tail").alias("side"))
-    listed = F.sort_array(F.collect_list("side"))
-    grouped = sides.groupBy("id", "n_bytes", "sha").agg(
-        F.sum("n").alias("n"),
-        F.min("aligned").alias("aligned"),
-        F.sum((F.col("at") == 0).cast("int")).alias("copies"),
-        F.array_distinct(listed).alias("sides"),
+            counts = pd.DataFrame(found, columns=["n", "head", "tail", "aligned"], index=batch.index)
+            yield pd.concat([batch[["sha", "at"]], counts], axis=1)
+
+    # Chunks take their time by the CPU, not by their bytes: the number of tasks is given, so that adaptive execution
+    # does not pack them into a few. Which task a chunk goes to is the same whenever one is repeated.
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = texts.select("sha", "text").mapInPandas(cut, "sha string, at int, last boolean, part string")
+    encoded = chunks.repartition(tasks, "sha", "at").mapInPandas(
+        encode, "sha string, at int, n long, head long, tail long, aligned boolean"
     )
-    heads = F.expr("transform(slice(sides, 2, size(sides)), s -> s.head)")
-    tails = F.expr("transform(slice(sides, 1, greatest(size(sides) - 1, 0)), s -> s.tail)")
-    return grouped.select(
-        "id",
-        "n_bytes",
-        "sha",
-        (F.col("n") / F.col("copies")).cast("long").alias("n_tokens"),
-        (F.col("aligned") & (heads == tails)).alias("aligned"),
-        F.explode(F.sequence(F.lit(1), "copies")).alias("copy"),
-    ).drop("copy")
+    # The ids behind a splice, seen from its two sides: chunk ``at`` has the splice at its head, the one before at its
+    # tail. A text's chunks, a few numbers each, are compared with their neighbours in turn.
+    before = F.lag("tail").over(Window.partitionBy("sha").orderBy("at"))
+    compared = encoded.withColumn("met", F.col("aligned") & ((F.col("at") == 0) | (F.col("head") == before)))
+    return compared.groupBy("sha").agg(F.sum("n").alias("n_tokens"), F.min("met").alias("aligned"))
 
 
 def _splice(part: str, low: int, high: int, spans: np.ndarray, ids: np.ndarray) -> tuple[int | None, int]:

@@ -110,6 +110,36 @@ def test_token_counts(spark, chunk, overlap):
     assert tokens.token_counts(empty(df)).collect() == []
 
 
+def test_copies_of_a_long_text_are_encoded_once(spark, monkeypatch):
+    text = " ".join(f"word{i}" for i in range(3_000))
+    rows = [(i, text) for i in range(40)] + [(None, text), (40, "short"), (41, "汉" * 9_000), (41, "汉" * 9_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    taken, plain = [], tokens._spliced
+
+    def spliced(texts, path, chunk, overlap):
+        taken.append((texts.count(), chunk, overlap))
+        return plain(texts, path, chunk, overlap)
+
+    monkeypatch.setattr(tokens, "_spliced", spliced)
+    found = tokens.token_counts(df, chunk=4_000).collect()
+    expected = [(i, len(t.encode()), n := len(LIBRARY.encode(t, add_special_tokens=False).ids), n > 2_048) for i, t in rows]
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, expected))
+    # Two different long texts; the one without any place to splice goes round until it is taken as a whole.
+    assert taken[0] == (2, 4_000, 256) and all(n == 1 and chunk >= overlap for n, chunk, overlap in taken[1:])
+
+
+def test_vocabulary_of_another_kind(spark):
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    other = Tokenizer.from_file(path)
+    assert not tokens.words_apart(other) and tokens.words_apart(LIBRARY)
+    df, rows = documents(spark)
+    found = tokens.token_counts(df, path=path, chunk=1_000).collect()
+    expected = [(r[0], len(other.encode(r[1] or "", add_special_tokens=False).ids)) for r in rows]
+    assert sorted(repr((r.doc_id, r.n_tokens)) for r in found) == sorted(map(repr, expected))
+
+
 def ids_of(text):
     return [*LIBRARY.encode(text or "", add_special_tokens=False).ids, 1]
 
