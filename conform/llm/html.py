@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -33,6 +34,11 @@ _NAMES = set(
     "subscribe subscription share sharing social related recommended comment comments disqus respond replies "
     "pagination pager toolbar widget banner".split()
 )
+#: What a container of page parts may be called besides.
+_FRAMES = set(
+    "area bar block bottom box btn button buttons container content form group inner item items left link links list main "
+    "module outer page panel placeholder right row section site slot small top unit wrap wrapper".split()
+)
 _ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 #: What a start tag ends, with the elements that this does not reach across.
 _ENDS = {
@@ -50,29 +56,33 @@ _TAG = re.compile(
 )
 _NAMED = re.compile(r"""(?:^|\s|["'])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 _PARTS = re.compile(r"[A-Za-z]+")
+#: Ancestors of a block whose subtrees are looked at, and the part of a page's text that makes articles its main text.
+_DEEP, _SMALL = 256, 4
 
 
 class _Element:
-    __slots__ = ("tag", "dropped", "inside", "first", "parts", "counted")
+    __slots__ = ("tag", "dropped", "inside", "parts", "counted", "parent", "digest")
 
-    def __init__(self, tag: str, dropped: bool, inside: str, first: int, counted: bool):
-        self.tag, self.dropped, self.inside, self.first, self.counted = tag, dropped, inside, first, counted
+    def __init__(self, tag: str, dropped: bool, inside: str, counted: bool, parent: _Element | None):
+        self.tag, self.dropped, self.inside, self.counted, self.parent = tag, dropped, inside, counted, parent
         self.parts: list[str] = [tag]
+        self.digest = 0
 
 
 class PageReader:
     """The blocks of one page, and the hashes of its element subtrees.
 
-    A block is a text and the hashes of the subtrees it lies in. Elements that never hold main text are left out
+    A block is a text and the subtrees that count it lies in, the innermost ``_DEEP`` of them. Elements that never hold main text are left out
     by tag, role or name; their subtrees are hashed all the same. Paragraphs and other running text of an article are
     never taken for a template, only the containers around them are.
     """
 
     def __init__(self, page: str):
-        self.blocks: list[list] = []  # text, place inside "article", "main" or "", hashes
+        self.blocks: list[tuple[str, _Element]] = []
         self.hashes: set[int] = set()
         self.buffer: list[str] = []
-        self.stack = [_Element("", False, "", 0, False)]
+        self.stack = [_Element("", False, "", False, None)]
+        self.open: Counter[str] = Counter()
         self._read(page)
         while len(self.stack) > 1:
             self._close()
@@ -128,7 +138,8 @@ class PageReader:
         counted = (dropped or tag not in _PAGE) and not parent.dropped and (
             dropped or tag not in (_FLOW if inside else _INLINE)
         )
-        self.stack.append(_Element(tag, dropped, inside, len(self.blocks), counted))
+        self.stack.append(_Element(tag, dropped, inside, counted, parent))
+        self.open[tag] += 1
 
     def _never_text(self, tag: str, attributes: str, inside: str) -> bool:
         if tag in _NEVER_TEXT or tag == "header" and not inside:
@@ -137,20 +148,28 @@ class PageReader:
             return False
         for match in _NAMED.finditer(attributes):
             value = match[2] or match[3] or match[4] or ""
-            names = {part.lower() for part in _PARTS.findall(value)}
             if match[1].lower() == "role":
                 if value.strip().lower() in _ROLES:
                     return True
-            elif names & _NAMES and not (tag == "article" and not names & {"comment", "comments", "ad", "ads"}):
-                # A title's frame inside the article is no page header.
-                if not (inside and names & _NAMES <= {"header", "banner"}):
+                continue
+            for name in value.split():
+                parts = {part.lower() for part in _PARTS.findall(name)}
+                named = parts & _NAMES
+                if inside:
+                    # Within an article the whole name must say so: its story-widget is a part of it, its ad-slot is not.
+                    # A title's frame is no page header there.
+                    if not parts <= _NAMES | _FRAMES or named <= {"header", "banner"}:
+                        continue
+                if tag == "article":
+                    named &= {"comment", "comments", "ad", "ads"}
+                if named:
                     return True
         return False
 
     def _end_implied(self, tag: str) -> None:
         closes, fence = _ENDS.get(tag, (set(), set()))
         depth = len(self.stack) - 1
-        while depth > 0:
+        while depth > 0 and (self.open["p"] or any(self.open[other] for other in closes)):
             open_tag = self.stack[depth].tag
             if open_tag == "p" or open_tag in closes:
                 while len(self.stack) > depth:
@@ -162,6 +181,8 @@ class PageReader:
             depth -= 1
 
     def _end(self, tag: str) -> None:
+        if not self.open[tag]:  # a stray end tag
+            return
         for depth in range(len(self.stack) - 1, 0, -1):
             open_tag = self.stack[depth].tag
             if open_tag == tag:
@@ -180,28 +201,42 @@ class PageReader:
         if element.tag not in _INLINE:
             self._flush()
         self.stack.pop()
+        self.open[element.tag] -= 1
         digest = xxhash.xxh64_intdigest("\x1f".join(element.parts).encode("utf-8", "replace"), 0)
         self.stack[-1].parts.append(format(digest, "x"))
+        element.parts = []
         if element.counted:
-            digest -= (digest >> 63) << 64
-            self.hashes.add(digest)
-            for block in self.blocks[element.first :]:
-                block[2].append(digest)
+            element.digest = digest - ((digest >> 63) << 64)
+            self.hashes.add(element.digest)
 
     def _flush(self) -> None:
         if self.buffer:
             text = " ".join("".join(self.buffer).split())
             self.buffer.clear()
             if text:
-                self.blocks.append([text, self.stack[-1].inside, []])
+                self.blocks.append((text, self.stack[-1]))
 
     def main(self) -> list[tuple[str, list[int]]]:
-        """The blocks of all articles; without one, those of the main element; without one, all."""
+        """The blocks of all articles, unless they hold a small part of the text only, like cards that lead to other
+        pages; else those of the main element; without one, all. Each with the hashes of its subtrees."""
         for inside in ("article", "main"):
-            found = [(text, hashes) for text, place, hashes in self.blocks if place == inside]
-            if found:
-                return found
-        return [(text, hashes) for text, _, hashes in self.blocks]
+            found = [(text, element) for text, element in self.blocks if element.inside == inside]
+            if _SMALL * sum(len(text) for text, _ in found) >= sum(len(text) for text, _ in self.blocks) and found:
+                break
+        else:
+            found = self.blocks
+        return [(text, self._within(element)) for text, element in found]
+
+    @staticmethod
+    def _within(element: _Element | None) -> list[int]:
+        hashes = []
+        for _ in range(_DEEP):
+            if element is None:
+                break
+            if element.counted:
+                hashes.append(element.digest)
+            element = element.parent
+        return hashes
 
 
 def main_texts(
@@ -219,8 +254,12 @@ def main_texts(
     taken for a template because it was copied. A host may have any number of pages: the counts are spread over the
     hashes and combined before the shuffle, and text moves only from pages that keep blocks in countable subtrees.
 
+    Parts with usual names and roles (navigation, adverts, comments and so on) are left out by these; inside an article
+    only where the whole name of a class says so.
+
     Null and empty html give an empty text. A null or odd url belongs to the host ``''``. Rows that repeat
-    an id are read each for itself. Other columns are not touched.
+    an id are read each for itself, and repeated rows count as one page. A page is read in time that grows with its
+    length, however deep its elements lie. An empty table gives an empty one; other columns are not touched.
     """
     check_columns(df, id_column, url_column, html_column)
     kind = df.schema[id_column].dataType.simpleString()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -346,6 +347,58 @@ def test_main_text(spark):
     assert html.main_texts(empty(df)).collect() == []
 
 
+def test_templates_by_nested_loops(spark):
+    """Frames without telling names go if they recur on many pages of their host, counted by hand."""
+    rng = random.Random(12)
+    frames = [f"<div><div>part {i}</div><p>of frame {i}</p></div>" for i in range(12)]
+    words = [f"w{i}" for i in range(300)]
+    pages = []
+    for i in range(90):
+        host = rng.choice(["a", "a", "b"])
+        used = rng.sample(range(12), rng.randint(0, 5)) if host == "a" else rng.sample(range(12), 2)
+        body = " ".join(rng.choice(words) for _ in range(30))
+        pages.append((i, host, used, body))
+    pages += [(200 + i, "b", [11], "the same text on every page") for i in range(20)]  # mirrors count once
+    pages += [(i, host, used, body) for i, host, used, body in pages[:5]]  # repeated rows
+    texts = {(host, tuple(used), body) for _, host, used, body in pages}
+
+    def kept(host, used):
+        return [f for f in used if sum(h == host and f in u for h, u, _ in texts) < 10]
+
+    rows = [
+        (i, f"http://{host}.example/{i}", "".join(frames[f] for f in used) + f"<section><h2>{body[:20]}</h2><p>{body}</p></section>")
+        for i, host, used, body in pages
+    ]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    found = sorted((r.page_id, r.text) for r in html.main_texts(df).collect())
+    expected = []
+    for i, host, used, body in pages:
+        parts = [text for f in kept(host, used) for text in (f"part {f}", f"of frame {f}")]
+        expected.append((i, "\n\n".join([*parts, " ".join(body[:20].split()), body])))
+    assert found == sorted(expected)
+    assert any(len(kept(host, used)) < len(used) for _, host, used, _ in pages)
+
+
+@pytest.mark.parametrize(
+    "page, blocks",
+    [
+        ("<article><p>a<div class='story-widget'><p>b</div><section class=related-work>c</section></article>", ["a", "b", "c"]),
+        ("<article><p>a<div class='ad-slot'>b</div><div class='share'>c</div><ul class='x comments'><li>d</ul></article>", ["a"]),
+        ("<article>card</article><div><p>" + "main text " * 20 + "</div><div class='site-footer'>b</div>", ["card", ("main text " * 20).strip()]),
+        ("<div class='sidebar-left'>a</div><div class=story>b</div>", ["b"]),
+    ],
+)
+def test_names_of_page_parts(page, blocks):
+    assert [text for text, _ in html.PageReader(page).main()] == blocks
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "</span>" * 100_000, "<div>" * 100_000 + "x" + "</div>" * 100_000, "<span>" * 30_000 + "<p>t" * 30_000])
+def test_deep_pages_take_time_by_length(page):
+    started = time.perf_counter()
+    html.PageReader(page).main()
+    assert time.perf_counter() - started < 5
+
+
 def test_revisits(spark):
     rows = [
         (1, "response", "HTTP://Host.example:80/a/?b=2&a=1&utm_source=x#top", 10, {"etag": '"1"', "content-length": "5", "date": "d1"}),
