@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from conform.llm.staging import BLANKS, check_columns, one_per, row_hash, staged, text_or_empty
+from conform.llm.staging import BLANKS, check_columns, row_hash, staged, text_or_empty
 
 #: Rows of one group that one task joins, about.
 _SLICE = 1_000_000
@@ -89,8 +89,12 @@ def without_exact_duplicates(df: DataFrame, id_column: str = "doc_id", text_colu
     )
     sha = F.sha2(normalised(text_column), 256)
     points = F.char_length(text_or_empty(text_column)).cast("long")
-    keyed = df.withColumn("__hash", row_hash(df)).withColumn("__row", _key(F.col(id_column), points, sha))
-    return one_per(keyed, "__row", F.col("__hash")).join(kept, "__row", "left_semi").drop("__row", "__hash")
+    keyed = df.select(
+        _key(F.col(id_column), points, sha).alias("__row"), row_hash(df).alias("__hash"), F.struct("*").alias("__whole")
+    )
+    # The join has put rows of one key side by side already.
+    left = keyed.join(kept, "__row", "left_semi").groupBy("__row").agg(F.min_by("__whole", "__hash").alias("__whole"))
+    return left.select("__whole.*")
 
 
 def _described(id_column: str, text_column: str) -> list[Column]:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from conform.llm.components import connected_components
 from conform.llm.forest import least_reachable
-from conform.llm.staging import BLANKS, check_columns, one_per, row_hash, staged, text_or_empty
+from conform.llm.staging import BLANKS, check_columns, row_hash, staged, text_or_empty
 
 #: Shingles whose bits are summed at once, and code points taken apart at once.
 _SHINGLES, _BLOCK = 8_192, 1 << 20
@@ -197,4 +197,6 @@ def one_of_each_group(
     prints = _fingerprints(df, id_column, text_column, length, row_hash(df).alias("hash"))
     candidate = F.struct(F.col("id").isNull().alias("none"), "id", "hash")
     kept = _components(prints, candidate, radius, tile).select(F.col("best.hash").alias("__row")).distinct()
-    return one_per(df.withColumn("__row", row_hash(df)), "__row").join(kept, "__row", "left_semi").drop("__row")
+    left = df.withColumn("__row", row_hash(df)).join(kept, "__row", "left_semi")
+    # Rows of one hash are equal in every column, and the join has put them side by side already.
+    return left.dropDuplicates(["__row"]).drop("__row")
