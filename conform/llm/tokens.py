@@ -17,13 +17,15 @@ from pyspark.sql import functions as F
 from conform.llm.staging import check_columns, staged, text_or_empty
 
 #: Words that one Python worker remembers, and code points that it takes apart at once.
-_MEMO, _BLOCK = 800_000, 1 << 20
+_MEMO, _BLOCK = 400_000, 1 << 20
 #: Chunks of a text that are handed on together.
 _PARTS = 64
 
 #: Where the tokens left and right of a place cannot depend on each other: behind white space and beside a digit.
 STABLE = re.compile(r"(?<=[\t-\r ])(?=[^\s])|(?<=[0-9])(?=[0-9A-Za-z])|(?<=[A-Za-z])(?=[0-9])")
 _SPACE = re.compile(r"[\t-\r ]")
+#: A mark behind a letter or digit begins a token of its own, so a space between them changes nothing.
+_MARK = re.compile(r"(?<=[A-Za-z0-9])(?=[.,?])")
 _WORD = re.compile(r"[^\t-\r ]+")
 _SEPARATORS = re.compile(r"[\x1c-\x1f]")
 
@@ -97,6 +99,8 @@ class WordEncoder:
         return b"".join(parts)
 
     def _block(self, text: str) -> bytes:
+        # Words are remembered without the marks behind them.
+        text = _MARK.sub(" ", text)
         # str.split() also splits at four separators that are not white space to the tokenizer.
         words = _WORD.findall(text) if _SEPARATORS.search(text) else text.split()
         memo = self.memo
