@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from conform.llm.staging import check_columns, staged, text_or_empty
 
 #: Words that one Python worker remembers, and code points that it takes apart at once.
-_MEMO, _BLOCK = 800_000, 1 << 20
+_MEMO, _BLOCK = 400_000, 1 << 20
 #: Chunks of a text that are handed on together.
 _PARTS = 64
 
@@ -100,14 +100,13 @@ class WordEncoder:
         # str.split() also splits at four separators that are not white space to the tokenizer.
         words = _WORD.findall(text) if _SEPARATORS.search(text) else text.split()
         memo = self.memo
-        new = list({word for word in words if word not in memo})
-        if not new:
-            return b"".join(map(memo.__getitem__, words))
-        found = self._encoded(new)
+        ids = list(map(memo.get, words))
+        if None not in ids:
+            return b"".join(ids)
+        found = self._encoded(list({word for word, known in zip(words, ids, strict=True) if known is None}))
         if len(memo) + len(found) <= _MEMO:
             memo.update(found)
-            return b"".join(map(memo.__getitem__, words))
-        return b"".join([found[word] if word in found else memo[word] for word in words])
+        return b"".join([found[word] if known is None else known for word, known in zip(words, ids, strict=True)])
 
     def _encoded(self, words: list[str]) -> dict[str, bytes]:
         """A word's plain letters are encoded without the mark behind them, which is a token of its own."""
