@@ -21,7 +21,7 @@ ORACLE_SQL = {
         WITH sized AS (
             SELECT doc_id, source,
                 CAST(len(regexp_extract_all(coalesce(text, ''), '[^{_BLANKS}]+')) AS BIGINT) AS size,
-                substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15) AS hash
+                md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, ''))) AS hash
             FROM documents),
         sizes AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
         weighed AS (
@@ -41,18 +41,15 @@ ORACLE_SQL = {
         plans AS (
             SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS rounds
             FROM targets),
-        ties AS (
-            SELECT source, hash, sum(size) AS words,
-                coalesce(sum(sum(size)) OVER (
-                    PARTITION BY source ORDER BY hash ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-            FROM sized GROUP BY source, hash),
-        picked AS (
-            SELECT p.*, t.hash, words - (target - rounds * source_size - before)
-                <= target - rounds * source_size - before AS extra
-            FROM ties t JOIN plans p ON t.source IS NOT DISTINCT FROM p.source)
-        SELECT s.doc_id, s.size, p.source_size, p.target,
-            CAST(s.size * (p.rounds + CASE WHEN p.extra THEN 1 ELSE 0 END) AS BIGINT) AS taken
-        FROM sized s JOIN picked p ON s.hash = p.hash AND s.source IS NOT DISTINCT FROM p.source
+        ordered AS (
+            SELECT s.doc_id, s.size, p.source_size, p.target, p.rounds, target - rounds * source_size
+                - coalesce(sum(s.size) OVER (
+                    PARTITION BY s.source ORDER BY hash ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_over
+            FROM sized s JOIN plans p ON s.source IS NOT DISTINCT FROM p.source)
+        SELECT doc_id, size, source_size, target,
+            CAST(size * (rounds + CASE WHEN left_over > 0 AND size - left_over <= left_over THEN 1 ELSE 0 END) AS BIGINT)
+                AS taken
+        FROM ordered
     """,
     "op7_revisits": r"""
         WITH bare AS (
