@@ -34,7 +34,8 @@ def exact_duplicates(
     only place to which text moves, each distinct chunk once per task; groups are found on the recipes. Copies,
     however many, are combined before the shuffle, and the join back to the documents moves only recipes. There a
     group is cut into slices of its documents, and its row is repeated for those slices that it has, so that a group
-    may hold any part of all rows.
+    may hold any part of all rows. Repeated rows are combined for each part of the input alone and slices are cut by that
+    part too, so no task repeats more of them than one part had.
 
     Null text counts as empty and all empty texts are one group. Of a group, the longest original text stays, then
     the smallest id (null ids come last); of rows that agree in all of that, one is marked as kept. Other columns are
@@ -44,29 +45,31 @@ def exact_duplicates(
     chunked = df.select(*_described(id_column, text_column), normalised(text_column).alias("plain")).select(
         "id",
         "points",
+        "part",
         F.sha2("plain", 256).alias("sha"),
         chunks_of(F.col("plain"), shortest, longest).alias("chunks"),
     )
     shared = _shared_hashes(chunked)
     if shared is None:
         recipe = F.transform("chunks", lambda chunk: F.xxhash64(chunk))
-        documents = chunked.groupBy("id", "points", "sha", recipe.alias("recipe")).agg(F.count("*").alias("copies"))
+        documents = chunked.groupBy("id", "points", "sha", "part", recipe.alias("recipe")).agg(F.count("*").alias("copies"))
     else:
         documents = _numbered(chunked, shared)
     documents = staged(documents, "recipes")
     # A slice of a group has about _SLICE rows at most; the count comes from the footers of the files.
     slices = F.lit(max(32, documents.count() // _SLICE))
-    documents = documents.withColumn("slice", F.pmod(F.xxhash64("id", "sha"), slices).cast("int"))
-    described = F.struct((-F.col("points")).alias("less"), F.col("id").isNull().alias("none"), "id")
+    documents = documents.withColumn("slice", F.pmod(F.xxhash64("id", "sha", "part"), slices).cast("int"))
+    described = F.struct((-F.col("points")).alias("less"), F.col("id").isNull().alias("none"), "id", "part")
     parts = documents.groupBy("recipe", "slice").agg(F.min(described).alias("best"), F.sum("copies").alias("rows"))
     groups = parts.groupBy("recipe").agg(
         F.min("best").alias("best"), F.sum("rows").alias("group_size"), F.collect_list("slice").alias("slices")
     )
     groups = groups.withColumn("slice", F.explode("slices")).drop("slices")
     best = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("points") == -F.col("best.less"))
+    best = best & (F.col("part") == F.col("best.part"))
     return (
         documents.join(groups, ["recipe", "slice"])
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
         .select(
             F.col("id").alias(id_column),
             F.col("best.id").alias("keep_id"),
@@ -99,7 +102,7 @@ def without_exact_duplicates(df: DataFrame, id_column: str = "doc_id", text_colu
 
 def _described(id_column: str, text_column: str) -> list[Column]:
     points = F.char_length(text_or_empty(text_column)).cast("long")
-    return [F.col(id_column).alias("id"), points.alias("points")]
+    return [F.col(id_column).alias("id"), points.alias("points"), F.spark_partition_id().alias("part")]
 
 
 def _key(identifier: Column, points: Column, sha: Column) -> Column:
@@ -122,7 +125,7 @@ def _shared_hashes(chunked: DataFrame) -> DataFrame | None:
 
 def _numbered(chunked: DataFrame, shared: DataFrame) -> DataFrame:
     """Documents with recipes of hashes and places, for the rare case of different chunks with one hash."""
-    row = ["id", "points", "sha"]
+    row = ["id", "points", "sha", "part"]
     parts = chunked.select(*row, F.posexplode_outer("chunks").alias("at", "chunk"))
     parts = parts.withColumn("hash", F.xxhash64("chunk")).join(shared, ["hash", "chunk"], "left")
     place = F.coalesce(F.col("place"), F.lit(0)).cast("long")
