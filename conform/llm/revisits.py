@@ -26,7 +26,11 @@ def canonical_url(url: str | Column) -> Column:
     return F.concat(host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")))
 
 
-def resolve_revisits(records: DataFrame, width: int = 3_600) -> DataFrame:
+#: Microseconds of the spans in which the as-of join looks one after the other: a second, an hour, all time.
+_SPANS = (1_000_000, 3_600_000_000)
+
+
+def resolve_revisits(records: DataFrame) -> DataFrame:
     """One row per revisit: record_id, url_key, response_id, state and headers.
 
     ``records`` has record_id, kind (``response``, a full one, or ``revisit``; others are ignored), url, date
@@ -39,8 +43,9 @@ def resolve_revisits(records: DataFrame, width: int = 3_600) -> DataFrame:
     Records without a date are never earlier than anything: a revisit without one is missing, a response without one unused. Null headers are
     empty, null urls one address of their own, and repeated rows are resolved each for itself.
 
-    The as-of join has two steps, so that one address may hold any part of all records: by address and ``width`` seconds,
-    and for what has no response before it there, over one row for each such span of an address.
+    One address may hold any part of all records: those of one time are combined before they are shuffled, and the
+    as-of join goes by address and second, then over one row for each second of an hour, then over one for each hour. So
+    no task orders more than the microseconds of a second, the seconds of an hour or the hours of the archive.
     """
     check_columns(records, "record_id", "kind", "url", "date", "headers")
     empty = F.create_map().cast("map<string,string>")
@@ -51,22 +56,19 @@ def resolve_revisits(records: DataFrame, width: int = 3_600) -> DataFrame:
         (F.col("kind") == "response").alias("full"),
         F.coalesce("headers", empty).alias("headers"),
     )
-    dated = events.where("date is not null").withColumn("span", F.floor(F.unix_micros("date") / (width * 1_000_000)))
-    dated = staged(dated, "captures")
-    response = F.when(F.col("full"), F.struct(F.col("record_id").alias("id"), "headers"))
-    # At one time revisits come first: a response of that time is not earlier.
-    within = Window.partitionBy("address", "span").orderBy("date", "full", "record_id")
-    near = F.last(response, ignorenulls=True).over(within.rowsBetween(Window.unboundedPreceding, -1))
-    seen = dated.withColumn("near", near).where(~F.col("full")).drop("full", "date")
-    latest = F.max_by(F.struct(F.col("record_id").alias("id"), "headers"), F.struct("date", "record_id"))
-    spans = dated.where("full").groupBy("address", "span").agg(latest.alias("latest"))
-    asked = seen.where("near is null").select("address", "span").distinct()
-    both = asked.join(spans, ["address", "span"], "full")
-    earlier = Window.partitionBy("address").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
-    carried = both.withColumn("far", F.last("latest", ignorenulls=True).over(earlier)).select("address", "span", "far")
-    found = seen.join(carried, ["address", "span"], "left").withColumn("base", F.coalesce("near", "far"))
+    dated = staged(events.where("date is not null").withColumn("at", F.unix_micros("date")).drop("date"), "captures")
+    response = F.struct(F.col("record_id").alias("id"), "headers")
+    # A null id is the smallest, but not left out.
+    largest = F.struct(F.col("record_id").isNotNull(), "record_id")
+    latest = F.max_by(response, largest).alias("latest")
+    times = dated.where("full").groupBy("address", "at").agg(latest)
+    asked = dated.where("not full").groupBy("address", "at").agg(F.lit(True).alias("asked"))
+    times = staged(asked.join(times, ["address", "at"], "full"), "times")
+    bases = _carried(times, _SPANS).select("address", "at", F.col("before").alias("base"))
+    revisits = dated.where("not full").select("record_id", "address", "at", "headers")
+    found = revisits.join(bases, ["address", "at"], "left").drop("at")
     undated = events.where("date is null and not full").select("record_id", "address", "headers")
-    found = found.select("record_id", "address", "headers", "base").unionByName(undated, allowMissingColumns=True)
+    found = found.unionByName(undated, allowMissingColumns=True)
     theirs = F.col("base.headers")
     etags = [F.regexp_replace(F.try_element_at(side, F.lit("etag")), "^W/", "") for side in (F.col("headers"), theirs)]
     dates = [F.try_element_at(side, F.lit("last-modified")) for side in (F.col("headers"), theirs)]
@@ -80,6 +82,28 @@ def resolve_revisits(records: DataFrame, width: int = 3_600) -> DataFrame:
     )
 
 
+def _carried(times: DataFrame, spans: tuple[int, ...]) -> DataFrame:
+    """The rows of ``times`` (address, at, asked, latest; one for each address and time) that are asked, with ``before``:
+    the last ``latest`` of their address at an earlier time. They look within their span first; the rest is asked of spans, each
+    with the last that it has, in the same way."""
+    keys, order = ["address"], "at"
+    if spans:
+        times, keys = times.withColumn("span", F.expr(f"(at - pmod(at, {spans[0]})) div {spans[0]}")), ["address", "span"]
+    earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    seen = times.withColumn("before", F.last("latest", ignorenulls=True).over(earlier)).where("asked").drop("latest")
+    if not spans:
+        return seen
+    seen = staged(seen, "asked")
+    lasting = times.where("latest is not null").groupBy(*keys).agg(F.max_by("latest", "at").alias("latest"))
+    asked = seen.where("before is null").groupBy(*keys).agg(F.lit(True).alias("asked"))
+    coarser = asked.join(lasting, keys, "full").withColumnRenamed("span", "at")
+    # The spans above are counted in spans of this level.
+    carried = _carried(staged(coarser, "spans"), tuple(width // spans[0] for width in spans[1:]))
+    carried = carried.select("address", F.col("at").alias("span"), F.col("before").alias("__far"))
+    met = seen.join(carried, keys, "left")
+    return met.select("address", "at", F.coalesce("before", "__far").alias("before"))
+
+
 def captures(pages: DataFrame) -> DataFrame:
     """Archive records of a crawl of ``pages``: each page fetched in full once, and asked for again at another time.
 
