@@ -90,6 +90,29 @@ def test_mix_comes_near_its_targets(spark):
         assert abs(row["sum(taken)"] - row["max(target)"]) <= 25
 
 
+@pytest.mark.parametrize("text", ["'a b c d e f g h i j'", "repeat('w ', cast(id % 20 as int))"])
+def test_rows_that_share_an_id_are_mixed_one_by_one(spark, text):
+    df = spark.range(400).selectExpr("cast(null as long) as doc_id", f"{text} as text", "if(id < 100, 'a', null) as source", "id as n")
+    result = mixing.mixed(df.repartition(5)).collect()
+    assert len(result) == 400
+    for source in ("a", None):
+        taken = sum(r.taken for r in result if r.source == source)
+        assert abs(taken - next(r.target for r in result if r.source == source)) <= 10
+    rows = mixing.mixed_rows(df).collect()
+    assert len(rows) == sum(r.copies for r in result)
+    assert sum(len((r.text or "").split()) for r in rows) == sum(r.taken for r in result)
+    assert sorted(rows, key=repr) == sorted(mixing.mixed_rows(df.repartition(7)).collect(), key=repr)
+    assert max(sum(r.n == n for r in rows) for n in range(400)) <= 2
+
+
+def test_exact_dedup_of_repeated_rows_in_many_parts(spark):
+    df = spark.range(0, 600, 1, 12).selectExpr("if(id % 3 = 0, null, 7) as doc_id", "if(id % 2 = 0, 'a text', ' a text') as text")
+    result = exact.exact_duplicates(df, "doc_id", "text").collect()
+    assert len(result) == 600 and sum(r.kept for r in result) == 1
+    kept = next(r for r in result if r.kept)
+    assert (kept.doc_id, kept.n_points) == (7, 7) and {(r.keep_id, r.group_size) for r in result} == {(7, 600)}
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(st.sampled_from("aAzé ñß1'.,?!<|>\n\x1c\x85\xa0́Σİ汉") | st.characters(codec="utf-8"), max_size=60))
 def test_word_encoder(text):
@@ -425,6 +448,25 @@ def test_revisits(spark):
     assert revisits.resolve_revisits(empty(df)).collect() == []
 
 
+def test_revisits_of_one_address_against_brute_force(spark):
+    rng = random.Random(3)
+    micros = [0, 1, 5, 999_999, 1_000_000, 3_599_999_999, 3_600_000_000, -1, -3_600_000_001]
+    spread = [rng.choice(micros) + rng.choice([0, 0, 7_200_000_000, 90_000_000_000]) for _ in range(300)]
+    rows = [(rng.choice([None, i, i]), rng.choice(["response", "revisit", "revisit"]), "h/a", at) for i, at in enumerate(spread)]
+    rows += rows[:40]
+    df = spark.createDataFrame(rows, "record_id long, kind string, url string, at long")
+    df = df.selectExpr("record_id", "kind", "url", "timestamp_micros(at) as date", "map('etag', cast(at as string)) as headers")
+    full = [row for row in rows if row[1] == "response"]
+
+    def answer(revisit):
+        earlier = [(r[3], r[0] is not None, r[0] or 0) for r in full if r[3] < revisit[3]]
+        best = max(earlier, default=None)
+        return (revisit[0], None, "missing") if best is None else (revisit[0], best[2] if best[1] else None, "mismatch")
+
+    found = [(r.record_id, r.response_id, r.state) for r in revisits.resolve_revisits(df.repartition(4)).collect()]
+    assert sorted(map(repr, found)) == sorted(repr(answer(row)) for row in rows if row[1] == "revisit")
+
+
 def test_language(spark):
     df, rows = documents(spark)
     found = language.predicted(df, language.learn(df)).collect()
