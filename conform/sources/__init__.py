@@ -7,6 +7,7 @@ from conform.sources.tables import (
     set_current_catalog,
     write_table,
 )
+from conform.sources.versions import read_versions, write_versions
 
 __all__ = [
     "FeedSpec",
@@ -15,6 +16,8 @@ __all__ = [
     "qualified_name",
     "read_csv_feed",
     "read_table",
+    "read_versions",
     "set_current_catalog",
     "write_table",
+    "write_versions",
 ]

@@ -311,6 +311,7 @@ _FROM_STEPS = {
     "q47_resumed_run": "SELECT * FROM fact_sales",
     "q48_stored_customers": "SELECT * FROM dim_customers",
     "q49_stored_products": "SELECT * FROM dim_products",
+    "q50_stored_current_products": "SELECT * FROM silver_products WHERE end_date IS NULL",
 }
 
 _FROM_TABLES = {

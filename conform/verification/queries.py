@@ -23,7 +23,7 @@ from conform.plans import gold, silver
 from conform.plans.manifest import RunFailed, resume_all
 from conform.plans.run import GOLD_INPUTS, Layout, feed_specs, run_all, run_bronze, run_gold_table
 from conform.plans.schemas import RAW_SCHEMAS
-from conform.sources import FeedSpec, ingest_feed, qualified_name, read_csv_feed
+from conform.sources import FeedSpec, ingest_feed, qualified_name, read_csv_feed, read_versions, write_versions
 from conform.sources.jobs import side_by_side
 from conform.sources.workspace import new_folder, stored
 from conform.verification.raw_feeds import RAW_FEEDS, table
@@ -290,6 +290,13 @@ def current_products(spark: SparkSession, folder: str) -> DataFrame:
     return current_only(silver_products(spark, folder))
 
 
+def stored_current_products(spark: SparkSession, folder: str) -> DataFrame:
+    """The current versions from files that hold no ended ones."""
+    versions, place = silver_products(spark, folder), new_folder(spark, "versions")
+    write_versions(versions, place)
+    return read_versions(spark, place, versions.schema, current=True)
+
+
 def product_keys(spark: SparkSession, folder: str) -> DataFrame:
     active = current_products(spark, folder).select("start_date", "product_number", "product_id")
     return gapless_key(active, ["start_date", "product_number"], "product_key")
@@ -467,4 +474,5 @@ QUERIES: dict[str, Query] = {
     "q47_resumed_run": resumed_run,
     "q48_stored_customers": stored_customers,
     "q49_stored_products": stored_products,
+    "q50_stored_current_products": stored_current_products,
 }

@@ -11,6 +11,7 @@ import pytest
 from conform.plans.run import Layout, feed_specs, run_bronze
 from conform.plans.schemas import RAW_SCHEMAS
 from conform.sources import FeedSpec, ingest_feed, qualified_name, read_csv_feed, set_current_catalog, write_table
+from conform.sources import read_versions, write_versions
 from conform.sources.jobs import side_by_side
 from conform.sources.workspace import durable, new_folder, scratch, shared_folder, stored
 
@@ -145,3 +146,27 @@ def test_scratch_removes_what_was_stored_inside(spark, tmp_path):
         place = made.pop()
     assert not any(map(os.path.exists, made)) and kept.count() == 7
     assert stored(spark.range(2), "outside").count() == 2 and os.path.isdir(place)
+
+
+def test_versions_are_read_from_their_own_files(spark, tmp_path):
+    df = spark.createDataFrame(
+        [(1, "a", datetime.date(2020, 1, 1)), (1, "b", None), (2, None, None), (3, "c", datetime.date(2021, 1, 1))],
+        "key long, name string, end_date date",
+    )
+    write_versions(df, f"{tmp_path}/versions")
+    current = read_versions(spark, f"{tmp_path}/versions", df.schema, current=True)
+    ended = read_versions(spark, f"{tmp_path}/versions", df.schema, current=False)
+    assert current.schema == df.schema and {(r.key, r.name) for r in current.collect()} == {(1, "b"), (2, None)}
+    assert {(r.key, r.name) for r in ended.collect()} == {(1, "a"), (3, "c")}
+    assert read_versions(spark, f"{tmp_path}/versions", df.schema).count() == 4
+    # The folders alone decide which files are read: ended versions that are no Parquet at all go unnoticed.
+    for part in os.listdir(f"{tmp_path}/versions/is_current=false"):
+        if part.endswith(".parquet"):
+            (tmp_path / "versions" / "is_current=false" / part).write_text("not to be read")
+    spark.catalog.refreshByPath(f"{tmp_path}/versions")
+    again = read_versions(spark, f"{tmp_path}/versions", df.schema, current=True)
+    assert again.count() == 2 and "PartitionFilters: [isnotnull(is_current" in again._jdf.queryExecution().toString()
+    write_versions(df.limit(0), f"{tmp_path}/none")
+    assert read_versions(spark, f"{tmp_path}/none", df.schema, current=True).collect() == []
+    with pytest.raises(ValueError, match="is_current"):
+        write_versions(df.withColumnRenamed("name", "is_current"), f"{tmp_path}/clash")
