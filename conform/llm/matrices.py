@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conform.llm.packing import best_fit_decreasing, linear_grouping, packed
 from conform.llm.staging import staged
-from conform.llm.tokens import bytes_per_id, default_tokenizer, token_pieces
+from conform.llm.tokens import REMEMBERED, bytes_per_id, default_tokenizer, token_pieces
 
 
 def packed_documents(
@@ -17,13 +17,18 @@ def packed_documents(
     path: str | None = None,
     capacity: int = 4096,
     end_id: int | None = 1,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """One row per piece of a document: id, piece, start, length, ids_crc32, sequence_id and offset.
 
     Every document's ids and an end id are cut into pieces of ``capacity``, and the pieces packed by linear grouping.
-    Rows that repeat an id are packed each for itself; other columns are not touched.
+    Rows that repeat an id are packed each for itself; other columns are not touched. Null text counts as empty, an empty
+    table gives an empty result, and ties of length are packed in any order. ``remembered`` bounds the words that each Python worker
+    keeps with their ids: fewer where it shares an executor's memory with other work.
     """
-    pieces = token_pieces(df, id_column, text_column, path or default_tokenizer(), capacity, end_id)
+    pieces = token_pieces(
+        df, id_column, text_column, path or default_tokenizer(), capacity, end_id, remembered=remembered
+    )
     rows = packed(staged(pieces, "pieces"), capacity, linear_grouping)
     return rows.select(
         F.col("id").alias(id_column),

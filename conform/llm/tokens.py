@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from conform.llm.staging import check_columns, staged, text_or_empty
 
-#: Words that one Python worker remembers, and code points that it takes apart at once.
-_MEMO, _BLOCK = 400_000, 1 << 20
+#: Words that one Python worker remembers, about 160 bytes each, and code points that it takes apart at once.
+REMEMBERED, _BLOCK = 800_000, 1 << 20
 #: Chunks of a text that are handed on together.
 _PARTS = 64
 
@@ -73,7 +73,7 @@ class WordEncoder:
     tokenizer; under any other, texts are encoded as a whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -81,6 +81,7 @@ class WordEncoder:
         self.tokenizer.no_padding()
         self.apart = words_apart(self.tokenizer)
         self.memo: dict[str, bytes] = {}
+        self.remembered = remembered
 
     def ids(self, text: str) -> bytes:
         """The ids as unsigned little-endian 32-bit numbers."""
@@ -104,7 +105,7 @@ class WordEncoder:
         if None not in ids:
             return b"".join(ids)
         found = self._encoded(list({word for word, known in zip(words, ids, strict=True) if known is None}))
-        if len(memo) + len(found) <= _MEMO:
+        if len(memo) + len(found) <= self.remembered:
             memo.update(found)
         return b"".join([found[word] if known is None else known for word, known in zip(words, ids, strict=True)])
 
@@ -140,19 +141,27 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=2)
-def word_encoder(path: str) -> WordEncoder:
+def word_encoder(path: str, remembered: int = REMEMBERED) -> WordEncoder:
     """One encoder per vocabulary and Python worker."""
-    return WordEncoder(path)
+    return WordEncoder(path, remembered)
 
 
 def token_pieces(
-    df: DataFrame, id_column: str, text_column: str, path: str, capacity: int, end_id: int | None, id_bytes: int = 0
+    df: DataFrame,
+    id_column: str,
+    text_column: str,
+    path: str,
+    capacity: int,
+    end_id: int | None,
+    id_bytes: int = 0,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """Every document's ids, then ``end_id``, cut into pieces of ``capacity``; one row per piece.
 
     id, piece, start, length, ids_crc32 (of 32-bit ids), and ids in little-endian ``id_bytes`` (2 or 4) if asked for; ``part`` and ``place`` number
     the pieces of one length within a task. Only longer documents are cut and nothing is lost; null text is empty, and
-    a document without ids gives one piece of length 0 (with an end id there is none).
+    a document without ids gives one piece of length 0 (with an end id there is none). ``remembered`` bounds the words that each
+    Python worker keeps with their ids; it changes time and memory only.
     """
     check_columns(df, id_column, text_column)
     kind = df.schema[id_column].dataType.simpleString()
@@ -161,7 +170,7 @@ def token_pieces(
     width = 4 * capacity
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, seen, part = word_encoder(path), {}, TaskContext.get().partitionId()
+        encoder, seen, part = word_encoder(path, remembered), {}, TaskContext.get().partitionId()
         for batch in batches:
             rows = []
             for identifier, text in zip(batch["id"].array, batch["text"], strict=True):
