@@ -30,8 +30,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences."""
-    return matrices.packed_documents(docs)
+    """The pieces of all documents and their places in sequences. Workers hold what earlier stages left, so they remember fewer words."""
+    return matrices.packed_documents(docs, remembered=400_000)
 
 
 STAGES = [
