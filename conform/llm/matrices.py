@@ -23,8 +23,8 @@ def packed_documents(
 
     Every document's ids and an end id are cut into pieces of ``capacity``, and the pieces packed by linear grouping.
     Rows that repeat an id are packed each for itself; other columns are not touched. Null text counts as empty, an empty
-    table gives an empty result, and ties of length are packed in any order. ``remembered`` bounds the words that each Python worker
-    keeps with their ids: fewer where it shares an executor's memory with other work.
+    table gives an empty result, and ties of length are packed in any order. ``remembered`` bounds the parts of words that each Python
+    worker keeps with their ids: fewer where it shares an executor's memory with other work.
     """
     pieces = token_pieces(
         df, id_column, text_column, path or default_tokenizer(), capacity, end_id, remembered=remembered

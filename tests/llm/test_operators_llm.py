@@ -8,6 +8,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -513,3 +514,36 @@ def test_code_lengths_by_brute_force(order):
                     break
                 bits += np.log2(total / len(after)) if after else 0
         assert language.code_lengths(trees, text)[column] == pytest.approx(bits)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aAzé ñßÀÞµ²×12'.,?!<|>sSrE\n\x1c\x85\xa0́Σİ汉") | st.characters(codec="utf-8"), max_size=40), max_size=5))
+def test_texts_of_a_block(texts):
+    special = "<|startoftext|> <|STARTOFTEXT|> don'T 'Re'LL ''s"
+    cases = ["", special, *texts, *(special.join(text) for text in texts), "\n a\t"]
+    encoder = tokens.WordEncoder(PATH)
+    for _ in range(2):  # the second time from memory
+        found = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.each(pa.array(cases))]
+        assert found == [LIBRARY.encode(case, add_special_tokens=False).ids for case in cases]
+
+
+def test_different_parts_of_words_are_encoded_once(monkeypatch):
+    encoder, taken, plain = tokens.WordEncoder(PATH, remembered=7), [], tokens.WordEncoder._part
+    monkeypatch.setattr(tokens.WordEncoder, "_part", lambda self, part: taken.append(part) or plain(self, part))
+    texts = ["Anlyha. anlyha", "ANLYHA!! été", "(Été) anlyha.", "Été!!"]
+    expected = [LIBRARY.encode(text, add_special_tokens=False).ids for text in texts]
+    for _ in range(2):
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder.each(pa.array(texts))] == expected
+    assert sorted(taken) == sorted(["anlyha", ".", "!!", "été", "(", ")"])
+    more = "one two three anlyha"
+    assert np.frombuffer(encoder.ids(more), "<u4").tolist() == LIBRARY.encode(more, add_special_tokens=False).ids
+    assert len(encoder.memo) == 7
+
+
+@pytest.mark.parametrize("block", [1, 40, 1 << 23])
+def test_blocks_of_texts(monkeypatch, block):
+    monkeypatch.setattr(tokens, "_BLOCK", block)
+    texts = ["a b", "", "long text " * 9 + "\x1cend", "é", "汉" * 30, "x  y", "", "word " * 20]
+    found = [np.frombuffer(ids, "<u4").tolist() for ids in tokens.WordEncoder(PATH).each(pa.array(texts))]
+    assert found == [LIBRARY.encode(text, add_special_tokens=False).ids for text in texts]
+    assert list(tokens.WordEncoder(PATH).each(pa.array([], "string"))) == []
