@@ -116,6 +116,8 @@ class WordEncoder:
                 yield b"".join(self._block(pa.array([part], pa.large_string()))[0] for part in _cut(texts[low].as_py()))
                 low += 1
             yield from self._block(texts.slice(low, high - low))
+            # Workers live on: what Arrow keeps of a block would be missing elsewhere.
+            pa.default_memory_pool().release_unused()
 
     def _block(self, texts: pa.Array) -> list[bytes]:
         # Splits at the six characters of _SPACE; the empty words at the ends have no ids.
